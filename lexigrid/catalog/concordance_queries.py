@@ -9,7 +9,7 @@ from lexigrid.catalog.frequency_queries import the_hits
 from lexigrid.catalog.registry import BASE, HITS, LOWER, OFFSETS, WORDS, query
 from lexigrid.operators import concordance as c
 from lexigrid.operators import match as m
-from lexigrid.operators.positions import annotate, attribute_arrays, positions, with_offsets, with_toknum
+from lexigrid.operators.positions import annotate, attribute_arrays, join_offsets, positions, with_toknum
 from lexigrid.sources.corpus import containing, load_corpus, with_tokens
 
 
@@ -148,8 +148,7 @@ def c17(spark, sf_dir):
 
 def the_lines(spark, sf_dir, left=0, right=0, refs=("#", "=source", "=lang")):
     """Concordance lines of ``the`` in document order, with token numbers."""
-    types = [r.removeprefix("=") for r in refs if r != "#"]
-    matched = with_offsets(the_hits(spark, sf_dir, word=True), "hits", "word", *types)
+    matched = join_offsets(the_hits(spark, sf_dir, word=True))
     return c.view_lines(matched, left, right, list(refs))
 
 
@@ -172,7 +171,7 @@ def the_pages(spark, sf_dir, **kw):
           || '&viewmode=sen&tab=advanced&queryselector=cql&showresults=1&default_attr=lemma_lc' AS permalink FROM h""",
 )
 def c19(spark, sf_dir):
-    matched = with_offsets(the_hits(spark, sf_dir), "hits", "toks", "source")
+    matched = join_offsets(the_hits(spark, sf_dir))
     lines = with_toknum(c.kwic(matched, 3, 3, "lc", "offset", "source"))
     hits = lines.select("toknum", "source", *joined("left", "kwic", "right"))
     return c.export_hits(hits, "my corpus/1", "http://localhost:8080/#view?")

@@ -9,6 +9,7 @@ from lexigrid.functions.text import tokenize
 from lexigrid.operators import match as m
 from lexigrid.operators.positions import (
     annotate,
+    join_offsets,
     positions,
     structure_rows,
     with_offsets,
@@ -69,7 +70,7 @@ def p1(spark, sf_dir):
         FROM tok JOIN offs USING (doc_id)""",
 )
 def p2(spark, sf_dir):
-    docs = with_offsets(documents(spark, sf_dir), "toks")
+    docs = join_offsets(documents(spark, sf_dir))
     pairs = F.transform(F.col("toks"), lambda w, i: F.struct(i.alias("pos"), w.alias("w")))
     rows = explode_kept(docs, pairs, "t", "doc_id", "offset")
     rows = rows.select("doc_id", "offset", F.col("t.pos").cast("bigint").alias("pos"), "t.w")

@@ -46,10 +46,12 @@ def struct_of_arrays(col: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, T.ArrayType) and isinstance(dtype.elementType, T.StructType):
         return F.struct(
             *[
-                struct_of_arrays(
-                    F.transform(col, lambda e, f=f: e[f.name]), T.ArrayType(f.dataType)
-                ).alias(f.name)
+                struct_of_arrays(_field(col, f.name), T.ArrayType(f.dataType)).alias(f.name)
                 for f in dtype.elementType.fields
             ]
         )
     return col
+
+
+def _field(array: Column, name: str) -> Column:
+    return F.transform(array, lambda e: e[name])

@@ -93,15 +93,6 @@ def keywords(
     return out.orderBy(F.desc("score"), "value").limit(n) if n else out
 
 
-def _relation_pairs(relations: dict[str, int], value) -> Column:
-    return F.array(
-        *[
-            F.struct(F.lit(name).alias("relation"), value(offset).alias("v"))
-            for name, offset in relations.items()
-        ]
-    )
-
-
 def _slot_totals(corpus: DataFrame, relations: dict[str, int]) -> DataFrame:
     """f(., relation, word): how often each word fills each slot of any token."""
     marked = F.transform(
@@ -127,21 +118,7 @@ def _sketches(corpus: DataFrame, lemmas: list[str], relations: dict[str, int]) -
     out = corpus
     for i, lemma in enumerate(lemmas):
         out = match(out, [term(lemma)], hits=f"_h{i}")
-        found = F.flatten(
-            F.transform(
-                F.col(f"_h{i}"),
-                lambda h, lemma=lemma: F.array(
-                    *[
-                        F.struct(
-                            F.lit(lemma).alias("w1"),
-                            F.lit(name).alias("relation"),
-                            _neighbour(h, k).alias("collocate"),
-                        )
-                        for name, k in relations.items()
-                    ]
-                ),
-            )
-        )
+        found = _neighbours(F.col(f"_h{i}"), lemma, relations)
         near = found if near is None else F.concat(near, found)
     triples = (
         explode_kept(out, near, "t")
@@ -157,6 +134,22 @@ def _sketches(corpus: DataFrame, lemmas: list[str], relations: dict[str, int]) -
     return joined.withColumn("logdice", log_dice(F.col("f"), F.col("f_rel"), F.col("f_slot")))
 
 
+def _neighbours(hits: Column, lemma: str, relations: dict[str, int]) -> Column:
+    def of(hit: Column) -> Column:
+        return F.array(
+            *[
+                F.struct(
+                    F.lit(lemma).alias("w1"),
+                    F.lit(name).alias("relation"),
+                    _neighbour(hit, k).alias("collocate"),
+                )
+                for name, k in relations.items()
+            ]
+        )
+
+    return F.flatten(F.transform(hits, of))
+
+
 def _neighbour(hit: Column, offset: int) -> Column:
     at = hit["pos"] + (offset + 1)
     return F.when(at >= 1, F.try_element_at(F.col("toks"), F.greatest(at, F.lit(1))))
@@ -208,18 +201,16 @@ def sketch_diff(
 def _pair_counts(corpus: DataFrame, distances: list[int]) -> DataFrame:
     """How often word ``b`` stands ``d`` tokens after word ``a``."""
     n = F.size("toks")
-    pairs = F.concat(
-        *[
-            F.transform(
-                F.arrays_zip(
-                    F.slice("toks", F.lit(1), F.greatest(n - d, F.lit(0))),
-                    F.slice("toks", F.lit(d + 1), F.greatest(n - d, F.lit(0))),
-                ).cast("array<struct<a:string,b:string>>"),
-                lambda p, d=d: F.struct(F.lit(d).alias("d"), p["a"].alias("a"), p["b"].alias("b")),
-            )
-            for d in distances
-        ]
-    )
+
+    def at(d: int) -> Column:
+        rest = F.greatest(n - d, F.lit(0))
+        zipped = F.arrays_zip(F.slice("toks", F.lit(1), rest), F.slice("toks", F.lit(d + 1), rest))
+        return F.transform(
+            zipped.cast("array<struct<a:string,b:string>>"),
+            lambda p: F.struct(F.lit(d).alias("d"), p["a"].alias("a"), p["b"].alias("b")),
+        )
+
+    pairs = F.concat(*[at(d) for d in distances])
     return explode_kept(corpus, pairs, "p").groupBy("p.d", "p.a", "p.b").agg(F.count("*").alias("f"))
 
 

@@ -53,10 +53,19 @@ def freqs_blocks(
     places = [(a, int(k)) for a, k in parts if not _is_text_type(a)]
     n_tokens = F.size("toks").cast("bigint")
     n_hits = F.size("hits").cast("bigint")
-    blocks = [_type_block(matched, types, n_tokens, n_hits)] if types else []
+    blocks = []
+    if types:
+        grouped = _type_block(matched, types, n_tokens, n_hits)
+        blocks.append(grouped.filter((F.col("frq") > 0) & F.col("value").isNotNull()))
+        # one block adds up to the corpus, so the totals reuse its shuffle
+        first = F.col("attribute") == types[0]
+        sums = grouped.agg(
+            F.sum(F.when(first, F.col("n_v"))).alias("N"), F.sum(F.when(first, F.col("frq"))).alias("f")
+        )
+    else:
+        sums = matched.agg(F.sum(n_tokens).alias("N"), F.sum(n_hits).alias("f"))
     blocks += [_place_block(matched, places)] if places else []
     counted = blocks[0] if len(blocks) == 1 else blocks[0].unionByName(blocks[1])
-    sums = matched.agg(F.sum(n_tokens).alias("N"), F.sum(n_hits).alias("f"))
     whole = sums.select(F.struct("N", "f")).scalar()
     out = counted.withColumn("_all", whole)
     return _measures(out, arg, nicearg, corpname, fmaxitems)
@@ -74,7 +83,6 @@ def _type_block(matched: DataFrame, types: list[str], n_tokens: Column, n_hits:
         counts.select("n", "h", F.inline("pairs"))
         .groupBy("attribute", "value")
         .agg(F.sum("h").alias("frq"), F.sum("n").alias("n_v"))
-        .filter((F.col("frq") > 0) & F.col("value").isNotNull())
     )
 
 

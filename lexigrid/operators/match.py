@@ -99,23 +99,19 @@ def _shortest_end(slots: list[Slot], start: Column, length: Column) -> Column:
     """Follow the feasible ends slot by slot; their number is bounded by the gaps."""
     ends = F.array(start + 1)
     for slot in slots[1:]:
-        ends = F.array_distinct(
-            F.flatten(
-                F.transform(
-                    ends,
-                    lambda e, slot=slot: F.transform(
-                        F.filter(
-                            F.sequence(e, e + slot.gap),
-                            lambda p: (p < length) & F.coalesce(slot.holds(p), F.lit(False)),
-                        ),
-                        lambda p: p + 1,
-                    ),
-                )
-            )
-        )
+        ends = F.array_distinct(F.flatten(_next_ends(ends, slot, length)))
     return F.array_min(ends)
 
 
+def _next_ends(ends: Column, slot: Slot, length: Column) -> Column:
+    def fits(p: Column) -> Column:
+        return (p < length) & F.coalesce(slot.holds(p), F.lit(False))
+
+    return F.transform(
+        ends, lambda e: F.transform(F.filter(F.sequence(e, e + slot.gap), fits), lambda p: p + 1)
+    )
+
+
 def match_alternatives(corpus: DataFrame, alternatives: list[list[Slot]], base: str = "lc") -> DataFrame:
     """Union of several sequences on the document row; equal hits count once."""
     out, names = corpus, []

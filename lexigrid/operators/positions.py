@@ -35,13 +35,21 @@ def token_rows(corpus: DataFrame, *keep: str | Column) -> DataFrame:
 def with_offsets(corpus: DataFrame, *carry: str) -> DataFrame:
     """Per document: ``n_tokens`` and ``offset``, the corpus number of its first token.
 
-    ``carry`` names the columns to keep (text types, hits, token arrays).
+    ``carry`` names narrow columns to keep (text types, hits). Token arrays are too
+    wide to ride along: use :func:`join_offsets`.
     """
     n_tokens = F.size("toks") if "toks" in corpus.columns else count_tokens("text")
     sizes = corpus.withColumn("n_tokens", n_tokens.cast("bigint"))
     return running_offsets(sizes, "doc_id", "n_tokens", carry)
 
 
+def join_offsets(corpus: DataFrame) -> DataFrame:
+    """Add ``offset`` to document rows; one row per document on both sides."""
+    sizes = corpus.select("doc_id", count_tokens("text").cast("bigint").alias("n_tokens"))
+    offsets = running_offsets(sizes, "doc_id", "n_tokens")
+    return corpus.join(offsets.select("doc_id", "offset"), "doc_id")
+
+
 def with_toknum(rows: DataFrame, offsets: DataFrame | None = None) -> DataFrame:
     """Add ``toknum`` to token or hit rows that carry ``offset``, or join it on."""
     if offsets is not None:

@@ -28,7 +28,7 @@ def running_offsets(
     Keys are cut into buckets at approximate quantiles, so that each window holds
     an equal share of the keys however they are spread. What is passed between the
     levels is one number per bucket. ``carry`` columns ride along, which saves the
-    caller a join on the key; keep them narrow.
+    caller a join on the key; they are sorted along, so they must be narrow.
     """
     cuts = rows.select(
         F.approx_percentile(
@@ -37,8 +37,10 @@ def running_offsets(
     ).scalar()
     bucketed = (
         rows.select(key, size, *carry)
-        .withColumn("_bucket", F.size(F.filter(F.array_distinct(cuts), lambda c: c < F.col(key))))
-        .repartition(buckets, "_bucket")
+        .withColumn("_cuts", F.array_distinct(cuts))
+        .withColumn("_bucket", F.size(F.filter("_cuts", lambda c: c < F.col(key))))
+        .drop("_cuts")
+        .repartition("_bucket")
     )
     # counting every column keeps the shuffle equal to the main one, so it is reused
     used = [F.count(c).alias(f"used_{c}") for c in (key, *carry)]
@@ -50,12 +52,12 @@ def running_offsets(
     )
     before = Window.partitionBy("_bucket").orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
     earlier = F.aggregate(
-        F.filter(totals, lambda t: t["_bucket"] < F.col("_bucket")),
+        F.filter("_totals", lambda t: t["_bucket"] < F.col("_bucket")),
         F.lit(0).cast("bigint"),
         lambda acc, t: acc + t["n"],
     )
     inside = F.coalesce(F.sum(size).over(before), F.lit(0))
-    return bucketed.withColumn("_inside", inside).select(
+    return bucketed.withColumn("_inside", inside).withColumn("_totals", totals).select(
         key, size, *carry, (F.col("_inside") + earlier).alias(out)
     )
 
