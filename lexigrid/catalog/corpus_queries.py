@@ -78,7 +78,7 @@ def p2(spark, sf_dir):
 
 
 # A lexicon made from the corpus itself: suffix-stripped lemmas and coarse tags.
-LEXICON_SQL = r"""lexicon AS (SELECT DISTINCT w AS lc, regexp_replace(w, '(ing|ed|s)$', '') AS lemma,
+LEXICON_SQL = r"""lexicon AS (SELECT DISTINCT w AS lc, regexp_replace(w, '(.)(ing|ed|s)$', '\1') AS lemma,
   CASE WHEN regexp_matches(w, '^\p{N}+$') THEN 'CD' WHEN regexp_matches(w, '^[\p{L}\p{N}]') THEN
   'NN' || (len(w) % 3) ELSE 'SENT' END AS tag FROM tok WHERE len(w) > 1)"""
 
@@ -90,7 +90,7 @@ def lexicon(corpus):
         .when(F.col("lc").rlike(r"^[\p{L}\p{N}]"), F.concat(F.lit("NN"), F.length("lc") % 3))
         .otherwise("SENT")
     )
-    return words.select("lc", F.regexp_replace("lc", "(ing|ed|s)$", "").alias("lemma"), tag.alias("tag"))
+    return words.select("lc", F.regexp_replace("lc", "(.)(ing|ed|s)$", "$1").alias("lemma"), tag.alias("tag"))
 
 
 @query(

@@ -227,12 +227,14 @@ def text_types_with_norms(corpus: DataFrame, attributes: list[str]) -> DataFrame
     )
 
 
-def text_types(attributes: DataFrame, drops: tuple[str, ...] = (), position: str = "") -> DataFrame:
+def text_types(
+    attributes: DataFrame, drops: tuple[str, ...] = (), position: str = "", *keep: str
+) -> DataFrame:
     """Attribute names without the dropped prefixes, with an optional position suffix."""
     for prefix in drops:
         attributes = attributes.filter(~F.col("attribute").startswith(prefix))
     name = F.concat_ws(" ", "attribute", F.lit(position)) if position else F.col("attribute")
-    return attributes.select(name.alias("attribute"))
+    return attributes.select(*keep, name.alias("attribute"))
 
 
 def ttype_counts(refs: DataFrame, columns: list[str], where: Column | None = None) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import ArrayType, MapType, StructType, VariantType
 
 
 def explode_kept(df: DataFrame, array: Column, alias: str, *keep: str | Column) -> DataFrame:
@@ -71,7 +72,7 @@ def top_per_group(
     of its salted part, so a hot group is cut down in parallel before its final
     sort sees at most ``salts * n`` rows.
     """
-    parts = df.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(salts)))
+    parts = df.withColumn("_salt", _salt(df, by, salts))
     first = Window.partitionBy(*by, "_salt").orderBy(*order)
     kept = parts.withColumn("_part", F.row_number().over(first)).filter(F.col("_part") <= n)
     whole = Window.partitionBy(*by).orderBy(*order)
@@ -90,7 +91,17 @@ def salted_join(
     ``one`` has unique keys and is repeated once per salt; a hot key of ``many`` is
     spread over as many tasks. If ``one`` is small the planner broadcasts it.
     """
-    rest = [F.col(c) for c in many.columns if c not in on]
-    salt = F.pmod(F.xxhash64(*(rest or [F.monotonically_increasing_id()])), F.lit(salts)).cast("int")
     copies = one.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return many.withColumn("_salt", salt).join(copies, [*on, "_salt"], how).drop("_salt")
+    salted = many.withColumn("_salt", _salt(many, on, salts))
+    return salted.join(copies, [*on, "_salt"], how).drop("_salt")
+
+
+def _salt(df: DataFrame, keys: list[str], salts: int) -> Column:
+    """A part number from the row's other plain values, so that a retry repeats it."""
+    plain = [
+        f.name
+        for f in df.schema.fields
+        if f.name not in keys and not isinstance(f.dataType, (ArrayType, MapType, StructType, VariantType))
+    ]
+    spread = F.xxhash64(*plain) if plain else F.monotonically_increasing_id()
+    return F.pmod(spread, F.lit(salts)).cast("int")
