@@ -78,6 +78,18 @@ def _emitted(piece: Column, address_wildcards: int) -> Column:
     )
 
 
+def _enough(pieces: Column, n: int) -> Column:
+    """Pieces up to the one that makes sure of ``n`` elements; all, if none does.
+
+    A piece of letters and digits is an element of its own, so what follows the
+    ``n``-th of these cannot show in the result.
+    """
+    plain = F.filter(
+        F.transform(pieces, lambda p, i: F.when(p.rlike(f"^{ALNUM}$"), i + 1)), lambda i: i.isNotNull()
+    )
+    return F.slice(pieces, F.lit(1), F.coalesce(F.get(plain, F.lit(n)), F.size(pieces)))
+
+
 def _element(term: Column, gap: Column) -> Column:
     return F.array(F.struct(term.cast("string").alias("term"), gap.cast("int").alias("gap")))
 
@@ -93,7 +105,9 @@ def fuzzy_pattern(
     """Array of ``struct<term, gap>``: a literal, or a gap of up to ``gap`` tokens."""
     text = F.col(text) if isinstance(text, str) else text
     text = clean_text(text, form) if clean else text
-    pieces = F.filter(F.split(apply_overrides(text, overrides), BLANK + "+"), lambda p: p != "")
+    blank = " +" if clean else BLANK + "+"
+    split = F.filter(F.split(apply_overrides(text, overrides), blank), lambda p: p != "")
+    pieces = bind(split, lambda ps: _enough(ps, max_length + 2))
     emitted = F.flatten(F.transform(pieces, lambda p: _emitted(p, url_wildcards)))
 
     def merged(acc: Column, token: Column) -> Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from lexigrid.functions.arrays import bind
 from lexigrid.functions.text import BLANK
 from lexigrid.functions.udfs import blake2b_32
 
@@ -33,11 +34,14 @@ def normalize_params(params: Column, sort_lists: bool = False) -> Column:
         ),
     )
 
-    def is_last(e: Column, i: Column) -> Column:
-        later = F.slice(entries, i + 2, F.size(entries))
-        return ~F.exists(later, lambda x: x["key"] == e["key"])
+    def last_ones(es: Column) -> Column:
+        def is_last(e: Column, i: Column) -> Column:
+            later = F.transform(F.slice(es, i + 2, F.size(es)), lambda x: x["key"])
+            return ~F.array_contains(later, e["key"])
 
-    return F.map_from_entries(F.filter(entries, is_last))
+        return F.filter(es, is_last)
+
+    return F.map_from_entries(bind(entries, last_ones))
 
 
 def json_string(text: Column) -> Column:
@@ -67,29 +71,31 @@ def canonical_json(params: Column, list_keys: Column | None = None) -> Column:
         return F.when(scalar, F.get(items, F.lit(0))).otherwise(as_list)
 
     entries = F.transform(
-        F.array_sort(F.map_entries(params), lambda a, b: F.when(a["key"] < b["key"], -1).when(a["key"] > b["key"], 1).otherwise(0)),
+        F.array_sort(F.map_entries(params)),
         lambda e: F.concat(json_string(e["key"]), F.lit(": "), value(e)),
     )
     return F.concat(F.lit("{"), F.array_join(entries, ", "), F.lit("}"))
 
 
-def call_key(
+def key_text(
     params: Column,
     call_type: Column | None = None,
-    algo: str = "md5",
     legacy: bool = False,
     list_keys: Column | None = None,
 ) -> Column:
-    """32 hex digits naming a call.
+    """The text a call's key is the digest of.
 
-    The call type is part of the key, so that calls of different types with equal
-    parameters do not share results; ``legacy`` leaves it out. ``blake2b`` reproduces
-    keys made elsewhere; ``md5`` stays in the JVM.
+    The call type is part of it, so that calls of different types with equal
+    parameters do not share results; ``legacy`` leaves it out.
     """
     if call_type is not None and not legacy:
         own = F.map_filter(params, lambda k, v: k != "call_type")
         params = F.map_concat(own, F.create_map(F.lit("call_type"), F.array(call_type)))
-    text = canonical_json(params, list_keys)
+    return canonical_json(params, list_keys)
+
+
+def call_key(text: Column | str, algo: str = "md5") -> Column:
+    """32 hex digits; ``blake2b`` reproduces keys made elsewhere, ``md5`` stays in the JVM."""
     return blake2b_32(text) if algo == "blake2b" else F.md5(text)
 
 

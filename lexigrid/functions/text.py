@@ -18,7 +18,12 @@ DOUBLE_QUOTES = "ʺ˝ˮ˵˶̋«»“”‟"
 TERM_SPECIALS = '"$()+[]^{}\\'
 TOKEN_PUNCTUATION = '!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~'
 
-# (?U) alone leaves out the four ASCII separator controls.
+# Every blank character of Unicode, the four ASCII separator controls among them.
+BLANKS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    + "".join(chr(c) for c in range(0x2000, 0x200B))
+    + "\u2028\u2029\u202f\u205f\u3000"
+)
 BLANK = r"(?U)[\s\x1c-\x1f]"
 NON_ASCII = r"[^\x00-\x7F]"
 
@@ -63,19 +68,14 @@ def is_word(token: Column) -> Column:
     return token.rlike(r"^[\p{L}\p{N}]")
 
 
-def _any_of(chars: str) -> str:
-    return "[" + chars + "]"
-
-
 def clean_text(text: Column | str, form: str | None = "NFKC") -> Column:
     """Strip, turn each blank into one space, unify quotes, normalize Unicode.
 
-    Blanks are replaced one for one, never collapsed. Normalization needs Python,
-    so only texts with a non-ASCII character go through it.
+    Blanks are replaced one for one, never collapsed; one pass maps all characters.
+    Normalization needs Python, so only texts with a non-ASCII character go through it.
     """
-    out = F.trim(F.regexp_replace(text, BLANK, " "))
-    out = F.regexp_replace(out, _any_of(SINGLE_QUOTES), "'")
-    out = F.regexp_replace(out, _any_of(DOUBLE_QUOTES), '"')
+    to = " " * len(BLANKS) + "'" * len(SINGLE_QUOTES) + '"' * len(DOUBLE_QUOTES)
+    out = F.trim(F.translate(text, BLANKS + SINGLE_QUOTES + DOUBLE_QUOTES, to))
     if form is None:
         return out
     normalized = unicode_normalize(form)(F.when(out.rlike(NON_ASCII), out))

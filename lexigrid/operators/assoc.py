@@ -13,7 +13,7 @@ from lexigrid.functions.measures import (
 )
 from lexigrid.operators.freq import per_million, wordlist
 from lexigrid.operators.match import match, term
-from lexigrid.plans.scale import explode_kept, salted_join
+from lexigrid.plans.scale import explode_kept, materialized, salted_join
 
 RELATIONS = {"left1": -1, "right1": 1}
 
@@ -258,7 +258,8 @@ def thesaurus(
     Each context of another word meets at most one context of ``lemma``, so the
     join adds no rows and needs no cap on frequent contexts.
     """
-    scores = context_scores(corpus, relations, min_freq)
+    # read three times: by all words, by the word itself, and for its total
+    scores = materialized(context_scores(corpus, relations, min_freq))
     own = scores.filter(F.col("w") == lemma).select("relation", "c", F.col("s").alias("s_own"))
     own_total = own.agg(F.sum("s_own")).scalar()
     met = salted_join(scores, own, ["relation", "c"], "left")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lexigrid.functions.request import call_key, canonical_json, normalize_params, step_kind
+from lexigrid.functions.request import call_key, canonical_json, key_text, normalize_params, step_kind
 from lexigrid.functions.text import rule_kind
 from lexigrid.plans.scale import explode_kept, salted_join, top_per_group
 
@@ -82,10 +82,15 @@ def normalize_calls(calls: DataFrame, sort_lists: bool = False) -> DataFrame:
     return calls.withColumn("params", normalize_params(F.col("params"), sort_lists))
 
 
-def with_key(calls: DataFrame, algo: str = "md5", legacy: bool = False) -> DataFrame:
+def with_key(
+    calls: DataFrame, algo: str = "md5", legacy: bool = False, list_keys: Column | None = None
+) -> DataFrame:
     """Normalize the parameters and add ``key``."""
     normal = normalize_calls(calls)
-    return normal.withColumn("key", call_key(F.col("params"), F.col("call_type"), algo, legacy))
+    text = key_text(F.col("params"), F.col("call_type"), legacy, list_keys)
+    # through a generator: the planner cannot split a Python UDF off nested lambdas
+    texts = normal.withColumn("_text", F.explode(F.array(text)))
+    return texts.withColumn("key", call_key("_text", algo)).drop("_text")
 
 
 def with_canonical(calls: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType, VariantType
 
@@ -63,6 +65,24 @@ def running_offsets(
     )
 
 
+def materialized(df: DataFrame) -> DataFrame:
+    """Compute a table once that several parts of a plan read.
+
+    It goes to the checkpoint folder of the session. Without one, a local session gets
+    a temporary folder, and a cluster goes on with the plan as it is.
+    """
+    spark = df.sparkSession
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None and context.master.startswith("local"):
+            folder = tempfile.mkdtemp(prefix="checkpoint-")
+        if folder is None:
+            return df
+        context.setCheckpointDir(folder)
+    return df.checkpoint()
+
+
 def top_per_group(
     df: DataFrame, by: list[str], order: list[Column], n: int, rank: str = "rank", salts: int = 64
 ) -> DataFrame:

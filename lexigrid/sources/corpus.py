@@ -18,6 +18,17 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Use all cores on a table that comes in fewer splits than there are cores.
+
+    Such a table is small by construction, so the shuffle is too; adaptive execution
+    picks the number of parts. A larger table is read as it lies.
+    """
+    if df.rdd.getNumPartitions() >= df.sparkSession.sparkContext.defaultParallelism:
+        return df
+    return df.repartition(key)
+
+
 def load_corpus(
     spark: SparkSession,
     sf_dir: str,
@@ -32,7 +43,7 @@ def load_corpus(
     """
     key, types = TABLES[table]
     types = types if text_types is None else text_types
-    df = read_table(spark, sf_dir, table)
+    df = spread(read_table(spark, sf_dir, table), key or "conv_id")
     doc_id = F.col(key) if key else F.col("conv_id") * 100000 + F.col("turn")
     corpus = df.select(doc_id.alias("doc_id"), *types, "text")
     if labels:
