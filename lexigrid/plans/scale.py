@@ -104,7 +104,7 @@ def top_per_group(
 
 
 def salted_join(
-    many: DataFrame, one: DataFrame, on: list[str], how: str = "inner", salts: int = 16
+    many: DataFrame, one: DataFrame, on: list[str], how: str = "inner", salts: int = 8
 ) -> DataFrame:
     """Join in which a key of ``many`` may hold a large share of its rows.
 
