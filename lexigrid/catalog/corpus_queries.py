@@ -12,6 +12,7 @@ from lexigrid.operators.positions import (
     join_offsets,
     positions,
     structure_rows,
+    token_rows,
     with_offsets,
     with_refs,
     with_toknum,
@@ -71,10 +72,8 @@ def p1(spark, sf_dir):
 )
 def p2(spark, sf_dir):
     docs = join_offsets(documents(spark, sf_dir))
-    pairs = F.transform(F.col("toks"), lambda w, i: F.struct(i.alias("pos"), w.alias("w")))
-    rows = explode_kept(docs, pairs, "t", "doc_id", "offset")
-    rows = rows.select("doc_id", "offset", F.col("t.pos").cast("bigint").alias("pos"), "t.w")
-    return with_toknum(rows)
+    rows = token_rows(docs, "doc_id", "offset")
+    return with_toknum(rows.withColumn("pos", F.col("pos").cast("bigint")))
 
 
 # A lexicon made from the corpus itself: suffix-stripped lemmas and coarse tags.

@@ -13,6 +13,7 @@ from lexigrid.functions.measures import (
 )
 from lexigrid.operators.freq import per_million, wordlist
 from lexigrid.operators.match import match, term
+from lexigrid.operators.positions import token_rows
 from lexigrid.plans.scale import explode_kept, materialized, salted_join
 
 RELATIONS = {"left1": -1, "right1": 1}
@@ -95,17 +96,13 @@ def keywords(
 
 def _slot_totals(corpus: DataFrame, relations: dict[str, int]) -> DataFrame:
     """f(., relation, word): how often each word fills each slot of any token."""
-    marked = F.transform(
-        F.col("toks"),
-        lambda w, i: F.struct(w.alias("w"), i.alias("i"), F.size("toks").alias("n")),
-    )
+    rows = token_rows(corpus.withColumn("n", F.size("toks")), "n")
+    start = F.col("pos")
     filled = [
-        F.count(
-            F.when((F.col("t.i") - k >= 0) & (F.col("t.i") - k < F.col("t.n")), 1)
-        ).alias(name)
+        F.count(F.when((start - k >= 0) & (start - k < F.col("n")), 1)).alias(name)
         for name, k in relations.items()
     ]
-    counted = explode_kept(corpus, marked, "t").groupBy(F.col("t.w").alias("collocate")).agg(*filled)
+    counted = rows.groupBy(F.col("w").alias("collocate")).agg(*filled)
     pairs = F.array(
         *[F.struct(F.lit(r).alias("relation"), F.col(r).alias("f_slot")) for r in relations]
     )
@@ -204,11 +201,12 @@ def _pair_counts(corpus: DataFrame, distances: list[int]) -> DataFrame:
 
     def at(d: int) -> Column:
         rest = F.greatest(n - d, F.lit(0))
-        zipped = F.arrays_zip(F.slice("toks", F.lit(1), rest), F.slice("toks", F.lit(d + 1), rest))
-        return F.transform(
-            zipped.cast("array<struct<a:string,b:string>>"),
-            lambda p: F.struct(F.lit(d).alias("d"), p["a"].alias("a"), p["b"].alias("b")),
+        zipped = F.arrays_zip(
+            F.array_repeat(F.lit(d), rest),
+            F.slice("toks", F.lit(1), rest),
+            F.slice("toks", F.lit(d + 1), rest),
         )
+        return zipped.cast("array<struct<d:int,a:string,b:string>>")
 
     pairs = F.concat(*[at(d) for d in distances])
     return explode_kept(corpus, pairs, "p").groupBy("p.d", "p.a", "p.b").agg(F.count("*").alias("f"))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from lexigrid.operators.match import ATTRIBUTES, hit_rows
 from lexigrid.operators.positions import reference_array, with_sentences
-from lexigrid.plans.scale import explode_kept, running_offsets, top_per_group
+from lexigrid.plans.scale import explode_kept, running_offsets, smallest, top_per_group
 
 SEGMENT = "struct<str:string,class:string>"
 
@@ -54,9 +54,12 @@ def _draw(seed: int | str) -> Column:
     return F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("doc_id"), F.col("pos")))
 
 
-def sample_hits(hits: DataFrame, n: int, seed: int | str = 0) -> DataFrame:
+def sample_hits(
+    hits: DataFrame, n: int, seed: int | str = 0, direct: int = 100_000
+) -> DataFrame:
     """``n`` random hits, the same ones for the same seed."""
-    return hits.orderBy(_draw(seed), "doc_id", "pos").limit(n)
+    drawn = hits.withColumn("draw", _draw(seed))
+    return smallest(drawn, "draw", ["doc_id", "pos"], n, direct).drop("draw")
 
 
 def stratified_sample(hits: DataFrame, by: str, n: int, seed: int | str = 0) -> DataFrame:

@@ -11,25 +11,29 @@ from lexigrid.functions.text import (
     split_sentences,
     tokenize_lower,
 )
-from lexigrid.plans.scale import explode_kept, running_offsets, salted_join
+from lexigrid.plans.scale import (
+    explode_kept,
+    posexplode_kept,
+    running_offsets,
+    salted_join,
+)
 
 
 def positions(corpus: DataFrame, *keep: str) -> DataFrame:
     """One row per token: ``doc_id``, kept columns, ``pos``, ``word``, ``lc``."""
-    zipped = F.transform(
-        F.arrays_zip("word", "toks"),
-        lambda t, i: F.struct(i.alias("pos"), t["word"].alias("word"), t["toks"].alias("lc")),
-    )
-    return explode_kept(corpus, zipped, "t", "doc_id", *keep).select(
-        "doc_id", *keep, F.col("t.pos").cast("bigint").alias("pos"), "t.word", "t.lc"
+    zipped = F.arrays_zip("word", "toks")
+    return posexplode_kept(corpus, zipped, "t", "doc_id", *keep).select(
+        "doc_id",
+        *keep,
+        F.col("pos").cast("bigint").alias("pos"),
+        "t.word",
+        F.col("t.toks").alias("lc"),
     )
 
 
 def token_rows(corpus: DataFrame, *keep: str | Column) -> DataFrame:
     """The narrow form: kept columns, ``pos``, ``w`` (lower case)."""
-    pair = F.transform(F.col("toks"), lambda w, i: F.struct(i.alias("pos"), w.alias("w")))
-    rows = explode_kept(corpus, pair, "t", *keep)
-    return rows.select(*[c for c in rows.columns if c != "t"], "t.pos", "t.w")
+    return posexplode_kept(corpus, F.col("toks"), "w", *keep)
 
 
 def with_offsets(corpus: DataFrame, *carry: str) -> DataFrame:
@@ -114,18 +118,11 @@ def with_sentences(corpus: DataFrame) -> DataFrame:
 def structure_rows(corpus: DataFrame) -> DataFrame:
     """One row per token with its paragraph and sentence number."""
     sents = explode_kept(with_sentences(corpus), F.col("sents"), "s", "doc_id")
-    tokens = F.transform(
-        F.col("s.toks"), lambda w, i: F.struct((F.col("s.pos") + i).alias("pos"), w.alias("w"))
-    )
-    rows = explode_kept(
-        sents, tokens, "t", "doc_id", F.col("s.par").alias("par"), F.col("s.sent").alias("sent")
-    )
+    names = {"par": "par_id", "sent": "sent_id", "pos": "first"}
+    place = [F.col(f"s.{k}").cast("bigint").alias(v) for k, v in names.items()]
+    rows = posexplode_kept(sents, F.col("s.toks"), "w", "doc_id", *place, pos="i")
     return rows.select(
-        "doc_id",
-        F.col("par").cast("bigint").alias("par_id"),
-        F.col("sent").cast("bigint").alias("sent_id"),
-        "t.pos",
-        "t.w",
+        "doc_id", "par_id", "sent_id", (F.col("first") + F.col("i")).alias("pos"), "w"
     )
 
 

@@ -18,6 +18,14 @@ def explode_kept(df: DataFrame, array: Column, alias: str, *keep: str | Column)
     return df.select(*keep, F.explode_outer(array).alias(alias)).filter(F.col(alias).isNotNull())
 
 
+def posexplode_kept(
+    df: DataFrame, array: Column, alias: str, *keep: str | Column, pos: str = "pos"
+) -> DataFrame:
+    """Like :func:`explode_kept`, with the 0-based position; runs as generated code."""
+    rows = df.select(*keep, F.posexplode_outer(array).alias(pos, alias))
+    return rows.filter(F.col(pos).isNotNull())
+
+
 def running_offsets(
     rows: DataFrame,
     key: str,
@@ -103,6 +111,28 @@ def top_per_group(
     )
 
 
+def smallest(df: DataFrame, draw: str, order: list[str], n: int, direct: int = 100_000) -> DataFrame:
+    """The ``n`` rows with the smallest hex digest ``draw``.
+
+    A small ``n`` is a plain top-n. A large one never meets in one task: rows are counted
+    per leading digits, whole buckets are kept, and only the bucket at the edge is sorted.
+    """
+    if n <= direct:
+        return df.orderBy(draw, *order).limit(n)
+    bucketed = df.withColumn("_bucket", F.substring(draw, 1, 4))
+    # at most 16 ** 4 rows
+    counts = bucketed.groupBy("_bucket").agg(F.count("*").alias("_n"))
+    upto = Window.orderBy("_bucket")
+    sums = counts.withColumn("_end", F.sum("_n").over(upto)).withColumn("_start", F.col("_end") - F.col("_n"))
+    placed = bucketed.join(F.broadcast(sums.filter(F.col("_start") < n)), "_bucket")
+    inside = placed.filter(F.col("_end") <= n)
+    edge = placed.filter(F.col("_end") > n).withColumn(
+        "_rank", F.row_number().over(Window.partitionBy("_bucket").orderBy(draw, *order))
+    )
+    edge = edge.filter(F.col("_rank") <= n - F.col("_start")).drop("_rank")
+    return inside.unionByName(edge).drop("_bucket", "_n", "_start", "_end")
+
+
 def salted_join(
     many: DataFrame, one: DataFrame, on: list[str], how: str = "inner", salts: int = 8
 ) -> DataFrame:
