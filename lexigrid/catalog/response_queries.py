@@ -17,6 +17,7 @@ from lexigrid.functions.text import count_tokens, split_paragraphs, split_senten
 from lexigrid.operators import concordance as c
 from lexigrid.operators import match as m
 from lexigrid.operators import responses as r
+from lexigrid.plans.scale import with_once
 from lexigrid.sources.corpus import load_corpus, read_table
 
 
@@ -251,7 +252,8 @@ def annotated_lines(spark, sf_dir):
 def r8(spark, sf_dir):
     lines = annotated_lines(spark, sf_dir)
     text = lines.select("doc_id", F.to_json("line").alias("text"))
-    parsed = text.select("doc_id", r.line_annotations(F.from_json("text", r.LINE)).alias("a"))
+    parsed = with_once(text, "line", F.from_json("text", r.LINE))
+    parsed = with_once(parsed, "a", r.line_annotations(F.col("line")))
     return parsed.filter(~F.col("a.malformed")).select(
         "doc_id", "a.toknum", *[F.array_join(f"a.{x}", " ").alias(x) for x in ("token", "pos", "lemma")]
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from lexigrid.functions.arrays import bind
-from lexigrid.functions.text import BLANK
+from lexigrid.functions.text import BLANKS
 from lexigrid.functions.udfs import blake2b_32
 
 PARAMS = "map<string,array<string>>"
@@ -15,8 +15,7 @@ CREDENTIALS = ["api_key", "username"]
 
 def strip(text: Column) -> Column:
     """Trim every kind of blank."""
-    edge = BLANK.removeprefix("(?U)")
-    return F.regexp_replace(text, f"(?U)^{edge}+|{edge}+$", "")
+    return F.btrim(text, F.lit(BLANKS))
 
 
 def normalize_params(params: Column, sort_lists: bool = False) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from lexigrid.functions.request import call_key, canonical_json, key_text, normalize_params, step_kind
 from lexigrid.functions.text import rule_kind
-from lexigrid.plans.scale import explode_kept, salted_join, top_per_group
+from lexigrid.plans.scale import explode_kept, salted_join, top_per_group, with_once
 
 # Must equal the reference's.
 FORMATS = ["json", "xml", "csv", "txt"]
@@ -88,8 +88,7 @@ def with_key(
     """Normalize the parameters and add ``key``."""
     normal = normalize_calls(calls)
     text = key_text(F.col("params"), F.col("call_type"), legacy, list_keys)
-    # through a generator: the planner cannot split a Python UDF off nested lambdas
-    texts = normal.withColumn("_text", F.explode(F.array(text)))
+    texts = with_once(normal, "_text", text)
     return texts.withColumn("key", call_key("_text", algo)).drop("_text")
 
 

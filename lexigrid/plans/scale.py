@@ -18,6 +18,16 @@ def explode_kept(df: DataFrame, array: Column, alias: str, *keep: str | Column)
     return df.select(*keep, F.explode_outer(array).alias(alias)).filter(F.col(alias).isNotNull())
 
 
+def with_once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a costly column behind a generator of one element.
+
+    A filter on the column stays above the generator; over a plain projection it would
+    be pushed below, and the column would be computed in both places. For the same
+    reason a Python UDF over the column is planned on its own.
+    """
+    return df.withColumn(name, F.explode(F.array(value)))
+
+
 def posexplode_kept(
     df: DataFrame, array: Column, alias: str, *keep: str | Column, pos: str = "pos"
 ) -> DataFrame:
