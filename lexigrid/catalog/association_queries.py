@@ -8,7 +8,6 @@ from lexigrid.catalog.corpus_queries import documents
 from lexigrid.catalog.frequency_queries import the_hits
 from lexigrid.catalog.registry import BASE, HITS, LOWER, query
 from lexigrid.operators import assoc as a
-from lexigrid.operators import match as m
 from lexigrid.sources.corpus import load_corpus, with_tokens
 
 COLLS = f"""{BASE}, {HITS}, colls AS (SELECT b.w AS collocate, count(*) AS f_xy FROM hits a JOIN tok b

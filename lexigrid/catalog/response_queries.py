@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lexigrid.catalog.concordance_queries import annotated_documents, the_docs, the_lines
+from lexigrid.catalog.concordance_queries import annotated_documents, the_lines
 from lexigrid.catalog.corpus_queries import LEXICON_SQL
 from lexigrid.catalog.frequency_queries import the_hits
 from lexigrid.catalog.registry import BASE, HITS, LOWER, OFFSETS, WORDS, query
