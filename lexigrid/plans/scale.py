@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType, VariantType
 
@@ -84,20 +82,16 @@ def running_offsets(
 
 
 def materialized(df: DataFrame) -> DataFrame:
-    """Compute a table once that several parts of a plan read.
+    """Compute a table once that several parts of a plan read, and cut its lineage.
 
-    It goes to the checkpoint folder of the session. Without one, a local session gets
-    a temporary folder, and a cluster goes on with the plan as it is.
+    It goes to the folder of ``spark.checkpoint.dir``; where that is unset, to a folder in the
+    session's warehouse, which all executors share as well.
     """
     spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None and context.master.startswith("local"):
-            folder = tempfile.mkdtemp(prefix="checkpoint-")
-        if folder is None:
-            return df
-        context.setCheckpointDir(folder)
+        context.setCheckpointDir(folder or f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints")
     return df.checkpoint()
 
 
