@@ -40,19 +40,10 @@ def _joined(words: DataFrame, keys: DataFrame) -> DataFrame:
     return words.join(keys, "_word")
 
 
-def contamination(
-    docs: DataFrame,
-    items: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    item_col: str = "item_id",
-    item_text: str = "text",
-    size: int = SIZE,
-) -> DataFrame:
-    """One row per document: id, ``n_words``, ``n_hit``, ``items`` (sorted ids of items found).
-
-    ``n_hit`` counts the document's words inside any occurrence of a window.
-    """
+def _judged(
+    docs: DataFrame, items: DataFrame, id_col: str, text_col: str, item_col: str, item_text: str, size: int
+) -> tuple[DataFrame, DataFrame]:
+    """Per document ``_id, _key, n_words, n_hit, _wids`` (windows found), and the windows by item."""
     windows = item_windows(items.select(F.col(item_col).alias("_item"), F.col(item_text).alias("_text")), size)
     windows = materialized(windows.withColumn("_wid", F.xxhash64("_length", "_window")))
     distinct = windows.groupBy("_wid").agg(F.first("_length").alias("_length"), F.first("_window").alias("_window"))
@@ -98,6 +89,23 @@ def contamination(
     hit = F.coalesce(F.size(F.array_distinct(F.flatten(spans))), F.lit(0)).cast("long")
     wids = F.array_distinct(F.transform("_found", lambda c: c["_wid"]))
     judged = found.select("_id", "_key", "n_words", F.when(F.size("_found") > 0, hit).otherwise(0).alias("n_hit"), wids.alias("_wids"))
+    return judged, windows
+
+
+def contamination(
+    docs: DataFrame,
+    items: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    item_col: str = "item_id",
+    item_text: str = "text",
+    size: int = SIZE,
+) -> DataFrame:
+    """One row per document: id, ``n_words``, ``n_hit``, ``items`` (sorted ids of items found).
+
+    ``n_hit`` counts the document's words inside any occurrence of a window.
+    """
+    judged, windows = _judged(docs, items, id_col, text_col, item_col, item_text, size)
     each = judged.select("_id", "_key", "n_words", "n_hit", F.posexplode_outer("_wids").alias("_order", "_wid"))
     items_of = broadcast_if_small(windows.select("_wid", "_item"), SMALL)
     each = each.withColumn("_first", F.coalesce("_order", F.lit(0)) == 0)
@@ -116,6 +124,22 @@ def contamination(
     return out.select(F.col("_id").alias(id_col), "n_words", "n_hit", F.array_sort("items").alias("items"))
 
 
+def clean_documents(
+    docs: DataFrame,
+    items: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    item_col: str = "item_id",
+    item_text: str = "text",
+    size: int = SIZE,
+) -> DataFrame:
+    """Rows of ``docs`` that hold no window of any item."""
+    judged, _ = _judged(docs, items, id_col, text_col, item_col, item_text, size)
+    hit = judged.filter("n_hit > 0").select("_key").distinct()
+    own = docs.select(F.struct("*").alias("_row"), F.xxhash64(F.col(id_col), F.col(text_col)).alias("_key"))
+    return own.join(hit, "_key", "left_anti").select("_row.*")
+
+
 _WORDS_SQL = (
     "regexp_extract_all(translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
     r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"

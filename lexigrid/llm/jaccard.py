@@ -282,18 +282,8 @@ def _parts(groups: DataFrame, threshold: float, part: int) -> DataFrame:
     return known.select("_set", "_n", "_copies", "_first", places.alias("_places"))
 
 
-def jaccard_classes(
-    docs: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    size: int = 5,
-    threshold: float = 0.8,
-    recall: float = 0.999999,
-    part: int = PART,
-) -> DataFrame:
-    """One row per document: id, ``class_id``, ``n_links`` (other documents at the threshold,
-    copies included), ``n_shingles``, ``copies`` (documents with the same set) and ``first``
-    (whether the row is the one document of its class to keep)."""
+def _classes(docs: DataFrame, id_col: str, text_col: str, size: int, threshold: float, recall: float, part: int) -> DataFrame:
+    """Per document ``_id, _key`` and what :func:`jaccard_classes` tells."""
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).withColumn("_key", F.xxhash64("_id", "_text"))
     signed = materialized(_signed(rows, size, runs_for(threshold, recall)))
     sets = signed.filter("_n > 0").groupBy("_set").agg(
@@ -334,7 +324,8 @@ def jaccard_classes(
     out = signed.select("_id", "_key", "_set", "_n").join(judged, "_set", "left")
     alone = F.col("_n") == 0
     return out.select(
-        F.col("_id").alias(id_col),
+        "_id",
+        "_key",
         F.when(alone, F.col("_id")).otherwise(F.col("_leader._id")).alias("class_id"),
         F.when(alone, 0).otherwise(F.col("_links") + F.col("_copies") - 1).cast("long").alias("n_links"),
         F.col("_n").alias("n_shingles"),
@@ -343,6 +334,38 @@ def jaccard_classes(
     )
 
 
+def jaccard_classes(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    size: int = 5,
+    threshold: float = 0.8,
+    recall: float = 0.999999,
+    part: int = PART,
+) -> DataFrame:
+    """One row per document: id, ``class_id``, ``n_links`` (other documents at the threshold,
+    copies included), ``n_shingles``, ``copies`` (documents with the same set) and ``first``
+    (whether the row is the one document of its class to keep)."""
+    found = _classes(docs, id_col, text_col, size, threshold, recall, part)
+    return found.select(F.col("_id").alias(id_col), "class_id", "n_links", "n_shingles", "copies", "first")
+
+
+def one_per_class(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    size: int = 5,
+    threshold: float = 0.8,
+    recall: float = 0.999999,
+    part: int = PART,
+) -> DataFrame:
+    """Rows of ``docs`` without those that repeat an earlier document of their class."""
+    found = _classes(docs, id_col, text_col, size, threshold, recall, part)
+    gone = found.filter("NOT first").select("_key").distinct()
+    own = docs.select(F.struct("*").alias("_row"), F.xxhash64(F.col(id_col), F.col(text_col)).alias("_key"))
+    return own.join(gone, "_key", "left_anti").select("_row.*")
+
+
 @query("op6_jaccard_join")
 def op6_jaccard_join(spark, sf_dir):
     found = jaccard_classes(spark.read.parquet(f"{sf_dir}/documents.parquet"))
