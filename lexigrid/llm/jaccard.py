@@ -289,7 +289,7 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, size: int, threshold:
     sets = signed.filter("_n > 0").groupBy("_set").agg(
         F.max("_n").alias("_n"),
         F.count("*").alias("_copies"),
-        F.min(F.struct("_id", "_key")).alias("_first"),
+        F.min(F.struct(F.col("_id").isNull().alias("_none"), "_id", "_key")).alias("_first"),
         F.first("_mins").alias("_mins"),
         F.first("_sketch").alias("_sketch"),
     )

@@ -187,6 +187,9 @@ def _send(size: int, gram: int):
         h, code, ids, place = (np.concatenate(x) for x in zip(*parts))
         order = np.lexsort((place, ids, code, h))
         h, code, ids, place = h[order], code[order], ids[order], place[order]
+        # repeated rows bring the same place again
+        once = np.concatenate([[True], (place[1:] != place[:-1]) | (ids[1:] != ids[:-1]) | (code[1:] != code[:-1]) | (h[1:] != h[:-1])])
+        h, code, ids, place = h[once], code[once], ids[once], place[once]
         new_h = np.concatenate([[True], h[1:] != h[:-1]])
         new = new_h | np.concatenate([[True], code[1:] != code[:-1]])
         group = np.cumsum(new_h) - 1
@@ -241,6 +244,8 @@ def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = np.full(len(h), -1, np.int32)
         kind[flag == 2] = 0
         kind[at[~new]] = 0
+        ids, place = table.column("_id").to_numpy()[at], table.column("_place").to_numpy()[at]
+        kind[at[1:][~new[1:] & (ids[1:] == ids[:-1]) & (place[1:] == place[:-1])]] = -1
         kind[at[new & several[group[at]]]] = 1
         kept = np.flatnonzero(kind >= 0)
         return pa.RecordBatch.from_arrays(
