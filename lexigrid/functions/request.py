@@ -55,19 +55,29 @@ def json_string(text: Column) -> Column:
     return F.concat(F.lit('"'), guarded, F.lit('"'))
 
 
-def canonical_json(params: Column, list_keys: Column | None = None) -> Column:
+def canonical_json(params: Column, kinds: Column | None = None) -> Column:
     """Ordered JSON of parameters with ``", "`` and ``": "``; lists sorted.
 
-    A one-element array stands for a scalar, unless its key is in ``list_keys``.
+    A one-element array stands for a scalar, unless ``kinds`` (a map from key to kind) says
+    ``list``; ``numbers`` is a list whose items are written bare, in order of size, and ``null``
+    a parameter without a value.
     """
 
     def value(e: Column) -> Column:
         items = F.transform(F.sort_array(e["value"]), json_string)
         as_list = F.concat(F.lit("["), F.array_join(items, ", "), F.lit("]"))
         scalar = F.size(e["value"]) == 1
-        if list_keys is not None:
-            scalar = scalar & ~F.coalesce(F.array_contains(list_keys, e["key"]), F.lit(False))
-        return F.when(scalar, F.get(items, F.lit(0))).otherwise(as_list)
+        if kinds is None:
+            return F.when(scalar, F.get(items, F.lit(0))).otherwise(as_list)
+        kind = F.coalesce(F.try_element_at(kinds, e["key"]), F.lit(""))
+        sized = F.array_sort(F.transform(e["value"], lambda x: F.struct(x.try_cast("double").alias("n"), x.alias("s"))))
+        bare = F.concat(F.lit("["), F.array_join(F.transform(sized, lambda x: x["s"]), ", "), F.lit("]"))
+        return (
+            F.when(kind == "null", F.lit("null"))
+            .when(kind == "numbers", bare)
+            .when(scalar & (kind != "list"), F.get(items, F.lit(0)))
+            .otherwise(as_list)
+        )
 
     entries = F.transform(
         F.array_sort(F.map_entries(params)),
@@ -80,7 +90,7 @@ def key_text(
     params: Column,
     call_type: Column | None = None,
     legacy: bool = False,
-    list_keys: Column | None = None,
+    kinds: Column | None = None,
 ) -> Column:
     """The text a call's key is the digest of.
 
@@ -90,7 +100,7 @@ def key_text(
     if call_type is not None and not legacy:
         own = F.map_filter(params, lambda k, v: k != "call_type")
         params = F.map_concat(own, F.create_map(F.lit("call_type"), F.array(call_type)))
-    return canonical_json(params, list_keys)
+    return canonical_json(params, kinds)
 
 
 def call_key(text: Column | str, algo: str = "md5") -> Column:
@@ -107,14 +117,19 @@ def redact_url(url: Column | str, names: list[str] | None = None) -> Column:
     fragment = F.regexp_extract(url, r"(#.*)$", 1)
     kept = F.filter(
         F.split(query, "&", -1),
-        lambda p: (p != "") & ~F.substring_index(p, "=", 1).isin(names),
+        # names may be encoded; one that cannot be decoded is compared as it stands
+        lambda p: (p != "")
+        & ~F.coalesce(F.try_url_decode(F.substring_index(p, "=", 1)), F.substring_index(p, "=", 1)).isin(names),
     )
     joined = F.array_join(kept, "&")
     return F.concat(base, F.when(joined != "", F.concat(F.lit("?"), joined)).otherwise(F.lit("")), fragment)
 
 
 def redact_json(body: Column | str, names: list[str] | None = None) -> Column:
-    """Drop named keys from the ``request`` object of a JSON body; other bodies stay."""
+    """Drop named keys from the ``request`` object of a JSON body.
+
+    Other JSON bodies stay; a body that cannot be parsed, and so cannot be redacted, is null.
+    """
     body = F.col(body) if isinstance(body, str) else body
     names = CREDENTIALS if names is None else names
     fields = F.from_json(body, "map<string,variant>")
@@ -124,7 +139,7 @@ def redact_json(body: Column | str, names: list[str] | None = None) -> Column:
         fields,
         lambda k, v: F.when(k == "request", F.try_parse_json(F.to_json(safe))).otherwise(v),
     )
-    return F.when(request.isNotNull(), F.to_json(redacted)).otherwise(body)
+    return F.when(request.isNotNull(), F.to_json(redacted)).when(F.try_parse_json(body).isNotNull(), body)
 
 
 def step_kind(step: Column) -> Column:

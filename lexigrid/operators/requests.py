@@ -82,18 +82,22 @@ def normalize_calls(calls: DataFrame, sort_lists: bool = False) -> DataFrame:
     return calls.withColumn("params", normalize_params(F.col("params"), sort_lists))
 
 
-def with_key(
-    calls: DataFrame, algo: str = "md5", legacy: bool = False, list_keys: Column | None = None
-) -> DataFrame:
-    """Normalize the parameters and add ``key``."""
-    normal = normalize_calls(calls)
-    text = key_text(F.col("params"), F.col("call_type"), legacy, list_keys)
+def with_key(calls: DataFrame, algo: str = "md5", legacy: bool = False) -> DataFrame:
+    """Normalize the parameters, fill in the defaults and add ``key``.
+
+    A call with an explicit default and the same call without it have one key. A column
+    ``kinds`` (as :func:`lexigrid.sources.calls.calls_of` makes it) tells lists from scalars.
+    """
+    normal = with_defaults(normalize_calls(calls))
+    kinds = F.col("kinds") if "kinds" in calls.columns else None
+    text = key_text(F.col("params"), F.col("call_type"), legacy, kinds)
     texts = with_once(normal, "_text", text)
     return texts.withColumn("key", call_key("_text", algo)).drop("_text")
 
 
 def with_canonical(calls: DataFrame) -> DataFrame:
-    return normalize_calls(calls).withColumn("canonical", canonical_json(F.col("params")))
+    kinds = F.col("kinds") if "kinds" in calls.columns else None
+    return normalize_calls(calls).withColumn("canonical", canonical_json(F.col("params"), kinds))
 
 
 def split_cached(calls: DataFrame, responses: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -186,7 +190,8 @@ def step_fields(calls: DataFrame) -> DataFrame:
         F.when(kind == "query", F.regexp_extract(text, r"^a([^,]+),", 1)).alias("attribute"),
         F.when(kind == "query", body).alias("body"),
         F.when(kind == "query", rule_kind(body)).alias("rule_kind"),
-        F.when(kind == "sample", F.substring(text, 2, 20).cast("bigint")).alias("sample"),
+        # a size beyond 64 bits is null
+        F.when(kind == "sample", F.substr(text, F.lit(2)).try_cast("bigint")).alias("sample"),
     )
 
 

@@ -26,23 +26,43 @@ def read_calls(spark: SparkSession, paths: list[str]) -> DataFrame:
 
 
 def calls_of(lines: DataFrame) -> DataFrame:
-    """``call_id, value`` (one JSON object per line, blank lines skipped) to calls."""
+    """``call_id, value`` (one JSON object per line, blank lines skipped) to calls.
+
+    ``kinds`` keeps what the values were, where the arrays of ``params`` do not tell: ``list``,
+    ``numbers`` (a list of numbers) or ``null``.
+    """
     filled = lines.filter(F.col("value").rlike(r"\S"))
     raw = F.from_json("value", RAW, {"mode": "FAILFAST"})
-    parsed = filled.select("call_id", raw.alias("raw"))
+    # the second reading keeps numbers as they are written
+    written = F.from_json("value", "map<string,string>")
+    parsed = filled.select("call_id", raw.alias("raw"), written.alias("written"))
     own = F.map_filter("raw", lambda k, v: k != "call_type")
+    kinds = F.transform_values(own, lambda k, v: _kind(v))
     return parsed.select(
         "call_id",
         F.variant_get(F.try_element_at("raw", F.lit("call_type")), "$", "string").alias("call_type"),
-        F.transform_values(own, lambda k, v: _values(v)).alias("params"),
+        F.transform_values(own, lambda k, v: _values(v, F.try_element_at("written", k))).alias("params"),
+        F.map_filter(kinds, lambda k, v: v != "").alias("kinds"),
     )
 
 
-def _values(v: Column) -> Column:
-    """A list as it is, a scalar as a list of one; true and false as words."""
-    text = F.variant_get(v, "$", "string")
-    kind = F.schema_of_variant(v)
-    word = F.when(kind == "BOOLEAN", F.initcap(text)).otherwise(text)
-    return F.when(
-        kind.startswith("ARRAY"), F.try_variant_get(v, "$", "array<string>")
-    ).otherwise(F.array(word))
+def _kind(v: Column) -> Column:
+    kind = F.coalesce(F.schema_of_variant(v), F.lit("VOID"))
+    numbers = kind.startswith("ARRAY<BIGINT") | kind.startswith("ARRAY<DECIMAL") | kind.startswith("ARRAY<DOUBLE")
+    return (
+        F.when(v.isNull() | (kind == "VOID"), "null")
+        .when(numbers, "numbers")
+        .when(kind.startswith("ARRAY"), "list")
+        .otherwise("")
+    )
+
+
+def _values(v: Column, written: Column) -> Column:
+    """A list as it is, a scalar as a list of one (none if null); true and false as words."""
+    kind = F.coalesce(F.schema_of_variant(v), F.lit("VOID"))
+    word = F.when(kind == "BOOLEAN", F.initcap(written)).otherwise(written)
+    return (
+        F.when(v.isNull() | (kind == "VOID"), F.array().cast("array<string>"))
+        .when(kind.startswith("ARRAY"), F.from_json(written, "array<string>"))
+        .otherwise(F.array(word))
+    )

@@ -17,7 +17,7 @@ from lexigrid.operators import requests as r
 from lexigrid.operators import responses as rs
 from lexigrid.operators.phrases import phrase_search, relocate
 from lexigrid.plans.scale import running_offsets, salted_join, top_per_group
-from lexigrid.sources.calls import read_calls
+from lexigrid.sources.calls import calls_of, read_calls
 from lexigrid.sources.corpus import load_corpus, with_tokens
 from lexigrid.sources import responses as src
 
@@ -32,21 +32,51 @@ def call(spark, params, call_type="Collx"):
 @pytest.mark.parametrize(
     "params, key",
     [
-        ({"q": 'alemma,"bird"', "corpname": "susanne", "format": "json"}, "26d29b1b39a77ab48f0f53a00a6aa736"),
-        ({"q": 'alemma,"dog"', "corpname": "susanne", "format": "json"}, "246e9b78ffcfd750f7f2e9a2a0a3aa27"),
+        ({"q": 'alemma,"bird"', "corpname": "susanne"}, "26d29b1b39a77ab48f0f53a00a6aa736"),
+        ({"q": 'alemma,"dog"', "corpname": "susanne"}, "246e9b78ffcfd750f7f2e9a2a0a3aa27"),
         ({"q": 'alemma,"bird"', "corpname": "susanne", "format": "csv"}, "9cf98dbe4fe7d735ba79a97b1cbc569c"),
         ({"q": 'alemma,"bird"', "corpname": "susanne", "format": "txt"}, "57274b193187873b0214500a47bcb813"),
         ({"q": 'alemma,"bird"', "corpname": "susanne", "format": "xml"}, "111f7991212b34b9a7100289bbc7a922"),
-        ({"corpname": "susanne", "format": "json"}, "9c08055"),
-        ({"corpname": "susanne", "struct_attr_stats": 1, "format": "json"}, "9c28c7a"),
-        ({"q": 'alemma,"apple"', "corpname": " susanne ", "format": "json"}, "bc5d89b"),
+        ({"corpname": "susanne"}, "9c08055"),
+        ({"corpname": "susanne", "struct_attr_stats": 1}, "9c28c7a"),
+        ({"q": 'alemma,"apple"', "corpname": " susanne "}, "bc5d89b"),
     ],
 )
 def test_known_keys(spark, params, key):
+    # fixed values: known keys of calls that leave the defaults out
     row = r.with_key(call(spark, params), algo="blake2b", legacy=True).first()
     assert row.key.startswith(key)
 
 
+def test_known_key_of_a_view_call(spark):
+    params = {"q": 'alemma,"bird"', "corpname": "susanne"}
+    given = params | {"format": "json", "asyn": "0"}
+    keys = {r.with_key(call(spark, p, "View"), algo="blake2b", legacy=True).first().key[:7] for p in (params, given)}
+    assert keys == {"8cdfca2"}
+
+
+def test_kinds_of_values_reach_the_key(spark):
+    lines = [
+        '{"call_type": "Collx", "q": "z", "corpname": "c"}',
+        '{"call_type": "Collx", "q": ["z"], "corpname": "c"}',
+        '{"call_type": "Collx", "q": "z", "corpname": "c", "x": null}',
+        '{"call_type": "Collx", "q": "z", "corpname": "c", "format": "json"}',
+        '{"call_type": "Collx", "q": [10, 9], "n": 1.0, "t": true, "m": 3}',
+    ]
+    df = spark.createDataFrame(list(enumerate(lines)), "call_id long, value string")
+    calls = calls_of(df)
+    keys = {x.call_id: x.key for x in r.with_key(calls).collect()}
+    assert keys[0] == keys[3] and len({keys[0], keys[1], keys[2], keys[4]}) == 4
+    text = {x.call_id: x.canonical for x in r.with_canonical(calls).collect()}
+    assert text[1] == '{"corpname": "c", "q": ["z"]}' and text[2] == '{"corpname": "c", "q": "z", "x": null}'
+    assert text[4] == '{"m": "3", "n": "1.0", "q": [9, 10], "t": "True"}'
+
+
+def test_sample_sizes_beyond_64_bits(spark):
+    steps = r.step_fields(call(spark, {"q": ["r250", "r" + "9" * 30]})).orderBy("step").collect()
+    assert [s.sample for s in steps] == [250, None] and {s.kind for s in steps} == {"sample"}
+
+
 def test_keys_tell_types_apart(spark):
     params = {"corpname": "c", "q": "q", "fcrit": "word 0"}
     keys = {r.with_key(call(spark, params, kind)).first().key for kind in ("Freqs", "Freqml", "Freqtt")}
@@ -104,6 +134,11 @@ def test_redaction(spark):
     body = '{"x": [1, {"b": 2}], "request": {"q": ["a"], "username": "u", "api_key": "k"}}'
     assert json.loads(one(q.redact_json("c"), body)) == {"x": [1, {"b": 2}], "request": {"q": ["a"]}}
     assert one(q.redact_json("c"), '{"x": 1}') == '{"x": 1}'
+    # a body beyond 1,000 characters, one that is cut off, and an encoded name
+    long = json.dumps({"request": {"q": "a" * 5000, "api_key": "k"}, "z": "b" * 5000})
+    assert json.loads(one(q.redact_json("c"), long)) == {"request": {"q": "a" * 5000}, "z": "b" * 5000}
+    assert one(q.redact_json("c"), long[:900]) is None
+    assert one(q.redact_url("c"), base + "view?api%5Fkey=S&q=%zz&user%6Eame=u") == base + "view?q=%zz"
 
 
 def test_permalink(spark):
