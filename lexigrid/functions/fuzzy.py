@@ -7,7 +7,7 @@ from pyspark.sql import Column, functions as F
 from lexigrid.functions.arrays import bind
 from lexigrid.functions.text import BLANK, TOKEN_PUNCTUATION, clean_text
 
-# Must equal the reference's. Order matters.
+# Fixed values, here and below: must equal the reference's. Order matters.
 ENGLISH_OVERRIDES = {
     "cannot": " []{,2} ",
     r" e\.g\.": " []{,4} ",
@@ -39,7 +39,9 @@ def apply_overrides(text: Column, mapping: dict[str, str] | None = None) -> Colu
 
 
 def _wild(n: Column | int) -> Column:
-    return F.array_repeat(F.lit(None).cast("string"), n if isinstance(n, Column) else F.lit(n))
+    """A gap of ``n`` tokens, as one element however large; none if ``n`` is 0."""
+    n = n if isinstance(n, Column) else F.lit(n)
+    return F.when(n > 0, _element(F.lit(None), n)).otherwise(F.array().cast(ELEMENTS))
 
 
 def _occurrences(piece: Column, char: str) -> Column:
@@ -47,7 +49,7 @@ def _occurrences(piece: Column, char: str) -> Column:
 
 
 def _emitted(piece: Column, address_wildcards: int) -> Column:
-    """What one blank-separated piece stands for: terms, and nulls for wildcards."""
+    """What one blank-separated piece stands for: terms, and gaps for wildcards."""
 
     def part(pattern: str) -> Column:
         return F.regexp_extract(piece, pattern, 1)
@@ -57,19 +59,19 @@ def _emitted(piece: Column, address_wildcards: int) -> Column:
         f"^{PUNCTUATION}({ALNUM})$",
         f"^({ALNUM}){PUNCTUATION}$",
     )
-    null = F.lit(None).cast("string")
+    gap = _wild(1)
     marked = F.coalesce(part(r"(\p{Nd}+)[^\p{Nd}]*$").try_cast("int"), F.lit(1))
     return (
-        F.when(piece.rlike(f"^{ALNUM}$") & (F.length(piece) == 1), F.array(piece))
+        F.when(piece.rlike(f"^{ALNUM}$") & (F.length(piece) == 1), _literal(piece))
         .when(F.length(piece) == 1, _wild(1))
         .when(piece.startswith("[]{,"), _wild(marked))
         .when(piece.rlike(ADDRESS), _wild(address_wildcards))
         .when(F.contains(piece, F.lit("-")), _wild(2 * _occurrences(piece, "-") + 1))
         .when(F.contains(piece, F.lit("'")), _wild(_occurrences(piece, "'") + 1))
-        .when(piece.rlike(f"^{ALNUM}$"), F.array(piece))
-        .when(piece.rlike(wrapped), F.array(null, part(wrapped), null))
-        .when(piece.rlike(opened), F.array(null, part(opened)))
-        .when(piece.rlike(closed), F.array(part(closed), null))
+        .when(piece.rlike(f"^{ALNUM}$"), _literal(piece))
+        .when(piece.rlike(wrapped), F.concat(gap, _literal(part(wrapped)), gap))
+        .when(piece.rlike(opened), F.concat(gap, _literal(part(opened))))
+        .when(piece.rlike(closed), F.concat(_literal(part(closed)), gap))
         .when(
             piece.rlike(NUMERIC),
             _wild(F.regexp_count(piece, F.lit(r"\p{Nd}+|[^\p{Nd}]+"))),
@@ -90,6 +92,10 @@ def _enough(pieces: Column, n: int) -> Column:
     return F.slice(pieces, F.lit(1), F.coalesce(F.get(plain, F.lit(n)), F.size(pieces)))
 
 
+def _literal(term: Column) -> Column:
+    return _element(term, F.lit(None))
+
+
 def _element(term: Column, gap: Column) -> Column:
     return F.array(F.struct(term.cast("string").alias("term"), gap.cast("int").alias("gap")))
 
@@ -113,12 +119,12 @@ def fuzzy_pattern(
     def merged(acc: Column, token: Column) -> Column:
         last = F.try_element_at(acc, F.lit(-1))
         grown = (
-            F.when(token.isNotNull(), F.concat(acc, _element(token, F.lit(None))))
+            F.when(token["term"].isNotNull() | last["gap"].isNull(), F.concat(acc, F.array(token)))
             .when(
                 last["gap"].isNotNull(),
-                F.concat(F.slice(acc, 1, F.size(acc) - 1), _element(F.lit(None), last["gap"] + 1)),
+                F.concat(F.slice(acc, 1, F.size(acc) - 1), _element(F.lit(None), _sum(last["gap"], token["gap"]))),
             )
-            .otherwise(F.concat(acc, _element(F.lit(None), F.lit(1))))
+            .otherwise(F.concat(acc, F.array(token)))
         )
         # two more than asked for: a gap may still be dropped at either edge
         return F.when(F.size(acc) >= max_length + 2, acc).otherwise(grown)
@@ -133,6 +139,11 @@ def fuzzy_pattern(
     return bind(runs, without_edges)
 
 
+def _sum(a: Column, b: Column) -> Column:
+    """Sum of two gaps, which stays within an int."""
+    return F.least(a.cast("bigint") + b, F.lit(2**31 - 1).cast("bigint"))
+
+
 def pattern_text(elements: Column) -> Column:
     """Readable form of a pattern: ``the <2> of``."""
     shown = F.transform(

@@ -10,7 +10,8 @@ from lexigrid.functions.udfs import unicode_normalize
 TOKEN_PATTERN = r"[\p{L}\p{N}]+|[^\s\p{L}\p{N}]"
 
 # Sentences close after the last of a run of stops; a line break always closes one.
-SENTENCE_PATTERN = r"[^.!?\n]*(?:[.!?][^\S\n]*)+|[^.!?\n]+"
+# One class after the stop, not a repeated group: that would recurse for every stop.
+SENTENCE_PATTERN = r"[^.!?\n]*[.!?][.!? \t\x0B\f\r]*|[^.!?\n]+"
 
 # Must equal the reference's.
 SINGLE_QUOTES = "‘’‛‹›"

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from lexigrid.operators.match import ATTRIBUTES, hit_rows
 from lexigrid.operators.positions import reference_array, with_sentences
-from lexigrid.plans.scale import explode_kept, running_offsets, smallest, top_per_group
+from lexigrid.plans.scale import explode_kept, running_offsets, smallest, top_per_group, with_once
 
 SEGMENT = "struct<str:string,class:string>"
 
@@ -97,16 +97,15 @@ def kwic(matched: DataFrame, left: int, right: int, attr: str = "lc", *keep: str
 def sentence_view(matched: DataFrame, *keep: str) -> DataFrame:
     """Hits with the whole sentence they start in as context."""
 
+    # the sentence of each token, so that a hit looks its own up
+    home = F.flatten(F.transform("sents", lambda s, i: F.array_repeat(i, F.size(s["toks"]))))
+
     def line(hit: Column) -> Column:
-        home = F.filter(
-            F.col("sents"),
-            lambda s: (s["pos"] <= hit["pos"]) & (hit["pos"] < s["pos"] + F.size(s["toks"])),
-        )
-        return F.struct(hit["pos"].alias("pos"), hit["end"].alias("end"), F.get(home, F.lit(0)).alias("s"))
+        own = F.get("sents", F.get("_home", hit["pos"]))
+        return F.struct(hit["pos"].alias("pos"), hit["end"].alias("end"), own.alias("s"))
 
-    rows = explode_kept(
-        with_sentences(matched), F.transform(F.col("hits"), line), "h", "doc_id", *keep
-    )
+    homes = with_once(with_sentences(matched), "_home", home)
+    rows = explode_kept(homes, F.transform(F.col("hits"), line), "h", "doc_id", *keep)
     start = (F.col("h.pos") - F.col("h.s.pos")).cast("int")
     width = F.col("h.end") - F.col("h.pos")
     return rows.select(

@@ -118,7 +118,16 @@ def match_alternatives(corpus: DataFrame, alternatives: list[list[Slot]], base:
     for n, slots in enumerate(alternatives):
         names.append(f"_hits{n}")
         out = match(out, slots, base, names[-1])
-    union = F.array_sort(F.array_distinct(F.flatten(F.array(*names))))
+    # as one number each (position and length), so that the distinct ones are hashed and not
+    # compared in pairs; position and end together would hash nearly alike
+    packed = F.transform(
+        F.flatten(F.array(*names)),
+        lambda h: F.shiftleft(h["pos"].cast("bigint"), 32).bitwiseOR((h["end"] - h["pos"]).cast("bigint")),
+    )
+    union = F.transform(
+        F.sort_array(F.array_distinct(packed)),
+        lambda x: _span(F.shiftright(x, 32), F.shiftright(x, 32) + x.bitwiseAND(F.lit((1 << 32) - 1))),
+    )
     return out.withColumn("hits", union).drop(*names)
 
 
