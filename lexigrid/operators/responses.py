@@ -90,7 +90,7 @@ def freqs_table(responses: DataFrame) -> DataFrame:
 
 
 def wordlist_table(responses: DataFrame, item: str = "str string, frq bigint") -> DataFrame:
-    """Word-list items with their attribute, most frequent first.
+    """Word-list items with their attribute: per response, most frequent first.
 
     ``item`` declares the fields; decimals are rounded to 2, halves to even.
     """
@@ -101,7 +101,9 @@ def wordlist_table(responses: DataFrame, item: str = "str string, frq bigint") -
         F.bround(f.name, 2).alias(f.name) if f.dataType.typeName() == "double" else F.col(f.name)
         for f in flat.schema.fields
     ]
-    return flat.select(*rounded).orderBy(F.desc("frq"))
+    # ties by the other fields, so that the order is total
+    rest = [c for c in flat.columns if c not in ("key", "frq")]
+    return flat.select(*rounded).orderBy("key", F.desc("frq"), *rest)
 
 
 def structures_table(responses: DataFrame, strict: bool = True) -> DataFrame:
@@ -112,7 +114,7 @@ def structures_table(responses: DataFrame, strict: bool = True) -> DataFrame:
     parsed = _parsed(responses, STRUCTURES)
     right = F.coalesce(F.col("j.request.struct_attr_stats") == "1", F.lit(False))
     if strict:
-        message = F.lit("requires `struct_attr_stats=1` to be set in params")
+        message = F.lit("attribute sizes are missing: ask for them with struct_attr_stats=1")
         parsed = parsed.withColumn("j", F.when(right, F.col("j")).otherwise(F.raise_error(message)))
     else:
         parsed = parsed.filter(right)

@@ -53,8 +53,8 @@ def append_new(spark: SparkSession, responses: DataFrame, path: str) -> None:
     except Exception as error:
         if "PATH_NOT_FOUND" not in str(error):
             raise
-        columns = ["key"] + [c for c in responses.columns if c != "key"]
-        keepable(responses).dropDuplicates(["key"]).select(columns).write.parquet(path)
+        nothing = spark.createDataFrame([], responses.select("key").schema)
+        new_responses(responses, nothing).write.parquet(path)
         return
     new_responses(responses, store).select(store.columns).write.mode("append").parquet(path)
 
@@ -92,7 +92,7 @@ def require_format(responses: DataFrame, fmt: str = "json", strict: bool = True)
     )
     if not strict:
         return responses.filter(right)
-    message = F.concat(F.lit(f"usable with `{fmt}` data only, not `"), "format", F.lit("`"))
+    message = F.concat(F.lit(f"needs a {fmt} response, got "), "format")
     return responses.withColumn(
         "text", F.when(right, F.col("text")).otherwise(F.raise_error(message))
     )
