@@ -9,7 +9,7 @@ from lexigrid.catalog.frequency_queries import the_hits
 from lexigrid.catalog.registry import BASE, HITS, LOWER, OFFSETS, WORDS, query
 from lexigrid.operators import concordance as c
 from lexigrid.operators import match as m
-from lexigrid.operators.positions import annotate, attribute_arrays, join_offsets, positions, with_toknum
+from lexigrid.operators.positions import annotate, attribute_arrays, offsets_of, positions, with_toknum
 from lexigrid.sources.corpus import containing, load_corpus, with_tokens
 
 
@@ -107,7 +107,7 @@ def c14(spark, sf_dir):
 )
 def c15(spark, sf_dir):
     matched = m.match(annotated_documents(spark, sf_dir), [m.term("the")])
-    lines = c.view_lines(matched.withColumn("offset", F.lit(0)), 2, 2, ["#"], attrs=True)
+    lines = c.view_lines(matched, 2, 2, ["#"], attrs=True)
     parts = F.concat("line.Left", "line.Kwic", "line.Right")
     return lines.select(
         "doc_id", "pos", F.array_join(F.transform(parts, lambda s: s["str"]), " ").alias("segments")
@@ -130,7 +130,7 @@ def annotated_documents(spark, sf_dir, *keep):
 )
 def c16(spark, sf_dir):
     matched = m.match(the_docs(spark, sf_dir, word=True), [m.term("the"), m.anything()])
-    lines = c.view_lines(matched.withColumn("offset", F.lit(0)), 0, 0, ["#"])
+    lines = c.view_lines(matched, 0, 0, ["#"])
     return lines.select("doc_id", "pos", c.kwic_text(F.col("line.Kwic")).alias("kwic"))
 
 
@@ -148,14 +148,12 @@ def c17(spark, sf_dir):
 
 def the_lines(spark, sf_dir, left=0, right=0, refs=("#", "=source", "=lang")):
     """Concordance lines of ``the`` in document order, with token numbers."""
-    matched = join_offsets(the_hits(spark, sf_dir, word=True))
-    return c.view_lines(matched, left, right, list(refs))
+    matched = the_hits(spark, sf_dir, word=True)
+    return c.view_lines(matched, left, right, list(refs), offsets=offsets_of(matched, hits=True))
 
 
 def the_pages(spark, sf_dir, **kw):
-    lines = the_lines(spark, sf_dir, **kw)
-    hits = c.numbered_hits(the_docs(spark, sf_dir)).select("doc_id", "pos", "hit")
-    return c.make_pages(lines.join(hits, ["doc_id", "pos"]), 100)
+    return c.make_pages(the_lines(spark, sf_dir, **kw), 100)
 
 
 @query(
@@ -171,7 +169,7 @@ def the_pages(spark, sf_dir, **kw):
           || '&viewmode=sen&tab=advanced&queryselector=cql&showresults=1&default_attr=lemma_lc' AS permalink FROM h""",
 )
 def c19(spark, sf_dir):
-    matched = join_offsets(the_hits(spark, sf_dir))
-    lines = with_toknum(c.kwic(matched, 3, 3, "lc", "offset", "source"))
+    matched = the_hits(spark, sf_dir)
+    lines = with_toknum(c.kwic(matched, 3, 3, "lc", "source"), offsets_of(matched))
     hits = lines.select("toknum", "source", *joined("left", "kwic", "right"))
     return c.export_hits(hits, "my corpus/1", "http://localhost:8080/#view?")

@@ -9,11 +9,10 @@ from lexigrid.functions.text import tokenize
 from lexigrid.operators import match as m
 from lexigrid.operators.positions import (
     annotate,
-    join_offsets,
+    offsets_of,
     positions,
     structure_rows,
     token_rows,
-    with_offsets,
     with_refs,
     with_toknum,
 )
@@ -71,7 +70,9 @@ def p1(spark, sf_dir):
         FROM tok JOIN offs USING (doc_id)""",
 )
 def p2(spark, sf_dir):
-    docs = join_offsets(documents(spark, sf_dir))
+    corpus = load_corpus(spark, sf_dir)
+    # every token is asked for, so the text is moved, and tokenized after that
+    docs = with_tokens(corpus.select("doc_id", "text").join(offsets_of(corpus).select("doc_id", "offset"), "doc_id"))
     rows = token_rows(docs, "doc_id", "offset")
     return with_toknum(rows.withColumn("pos", F.col("pos").cast("bigint")))
 
@@ -132,8 +133,7 @@ FROM hits JOIN offs USING (doc_id)""",
 )
 def p5(spark, sf_dir):
     docs = m.match(documents(spark, sf_dir), [m.term("the")])
-    docs = with_offsets(docs, "hits", "lang", "source")
-    hits = with_toknum(m.hit_rows(docs, "offset", "lang", "source"))
+    hits = with_toknum(m.hit_rows(docs, "lang", "source"), offsets_of(docs))
     return with_refs(hits, ["#", "=source", "lang"]).select(
         "doc_id", "pos", F.array_join("refs", "|").alias("refs")
     )
@@ -269,6 +269,7 @@ def c7_documents(spark, sf_dir):
 )
 def c8(spark, sf_dir):
     events = spark.read.parquet(f"{sf_dir}/events.parquet").filter("event_type = 'view'")
-    return m.by_ids(p2(spark, sf_dir), events.select(F.col("event_id").alias("toknum"))).select(
+    corpus = load_corpus(spark, sf_dir)
+    return m.by_ids(corpus, offsets_of(corpus), events.select(F.col("event_id").alias("toknum"))).select(
         "doc_id", "pos", "w", "toknum"
     )

@@ -239,7 +239,7 @@ a AS (SELECT tok.doc_id, tok.source, tok.pos, word, tok.w AS lc, coalesce(lemma,
 
 def annotated_lines(spark, sf_dir):
     docs = annotated_documents(spark, sf_dir, "source")
-    matched = m.match(docs, [m.term("the")]).withColumn("offset", F.lit(0).cast("bigint"))
+    matched = m.match(docs, [m.term("the")])
     return c.view_lines(matched, 4, 4, ["#", "=source"], attrs=True)
 
 

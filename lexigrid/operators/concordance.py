@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lexigrid.operators.match import ATTRIBUTES, hit_rows
+from lexigrid.operators.match import ATTRIBUTES
 from lexigrid.operators.positions import reference_array, with_sentences
 from lexigrid.plans.scale import explode_kept, running_offsets, smallest, top_per_group, with_once
 
@@ -23,13 +23,24 @@ def numbered_hits(matched: DataFrame, *keep: str) -> DataFrame:
 
     The numbers come from per-document hit counts, never from a sort of the hits.
     """
-    counted = matched.withColumn("n_hits", F.size("hits").cast("bigint"))
-    docs = running_offsets(counted, "doc_id", "n_hits", ("hits", *keep), out="first_hit")
+    rows = _indexed_hits(matched, *keep).join(_first_hits(matched), "doc_id")
+    return _numbered(rows, *keep)
+
+
+def _first_hits(matched: DataFrame) -> DataFrame:
+    counted = matched.select("doc_id", F.size("hits").cast("bigint").alias("n_hits"))
+    return running_offsets(counted.filter("n_hits > 0"), "doc_id", "n_hits", out="first_hit")
+
+
+def _indexed_hits(matched: DataFrame, *keep: str) -> DataFrame:
     numbered = F.transform(
         F.col("hits"),
         lambda h, i: F.struct(h["pos"].alias("pos"), h["end"].alias("end"), i.alias("i")),
     )
-    rows = explode_kept(docs, numbered, "h", "doc_id", *keep, "first_hit")
+    return explode_kept(matched, numbered, "h", "doc_id", *keep)
+
+
+def _numbered(rows: DataFrame, *keep: str) -> DataFrame:
     return rows.select(
         "doc_id",
         *keep,
@@ -46,20 +57,26 @@ def paged_hits(matched: DataFrame, pagesize: int = 100, *keep: str) -> DataFrame
 
 
 def page(matched: DataFrame, fromp: int = 1, pagesize: int = 100, *keep: str) -> DataFrame:
-    """One page of hits in corpus order."""
-    return paged_hits(matched, pagesize, *keep).filter(F.col("page") == fromp)
+    """One page of hits in corpus order.
+
+    Documents are picked by their range of hit numbers; each has a hit on the page, so there
+    are at most ``pagesize`` of them, and only their hits are looked at.
+    """
+    first, end = (fromp - 1) * pagesize, fromp * pagesize
+    docs = _first_hits(matched).filter((F.col("first_hit") < end) & (F.col("first_hit") + F.col("n_hits") > first))
+    rows = _indexed_hits(matched.join(F.broadcast(docs.select("doc_id", "first_hit")), "doc_id"), *keep, "first_hit")
+    hits = _numbered(rows, *keep).filter((F.col("hit") >= first) & (F.col("hit") < end))
+    return hits.withColumn("page", F.lit(fromp).cast("bigint"))
 
 
 def _draw(seed: int | str) -> Column:
     return F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("doc_id"), F.col("pos")))
 
 
-def sample_hits(
-    hits: DataFrame, n: int, seed: int | str = 0, direct: int = 100_000
-) -> DataFrame:
+def sample_hits(hits: DataFrame, n: int, seed: int | str = 0) -> DataFrame:
     """``n`` random hits, the same ones for the same seed."""
     drawn = hits.withColumn("draw", _draw(seed))
-    return smallest(drawn, "draw", ["doc_id", "pos"], n, direct).drop("draw")
+    return smallest(drawn, "draw", ["doc_id", "pos"], n).drop("draw")
 
 
 def stratified_sample(hits: DataFrame, by: str, n: int, seed: int | str = 0) -> DataFrame:
@@ -147,33 +164,45 @@ def attr_segments(word: Column, tag: Column, lemma: Column) -> Column:
 
 
 def view_lines(
-    matched: DataFrame, left: int, right: int, refs: list[str], attrs: bool = False
+    matched: DataFrame,
+    left: int,
+    right: int,
+    refs: list[str],
+    attrs: bool = False,
+    offsets: DataFrame | None = None,
 ) -> DataFrame:
     """Concordance lines ``toknum, Refs, Left, Kwic, Right`` as one struct per hit.
 
-    ``matched`` carries ``offset``, the text types in ``refs``, and ``word`` (with
-    ``attrs`` also ``tag`` and ``lemma``).
+    ``matched`` carries the text types in ``refs``, and ``word`` (with ``attrs`` also ``tag`` and
+    ``lemma``). Lines are cut on their row, then ``offsets`` is joined on; with its ``first_hit``
+    each line also gets its number ``hit``. Without ``offsets`` tokens count from each document.
     """
     layers = ["word", "tag", "lemma"] if attrs else ["word"]
 
-    def line(hit: Column) -> Column:
+    def line(hit: Column, i: Column) -> Column:
         cut = {a: _context(F.col(a), hit, left, right) for a in layers}
         parts = [
             attr_segments(*[cut[a][k] for a in layers]) if attrs else plain_segments(cut["word"][k])
             for k in range(3)
         ]
         return F.struct(
-            (F.col("offset") + hit["pos"]).alias("toknum"),
             hit["pos"].cast("bigint").alias("pos"),
+            i.alias("i"),
             *[p.alias(name) for p, name in zip(parts, ("Left", "Kwic", "Right"))],
         )
 
     types = [r.removeprefix("=") for r in refs if r != "#"]
     rows = explode_kept(matched, F.transform(F.col("hits"), line), "h", "doc_id", *types)
-    rows = rows.withColumn("toknum", F.col("h.toknum"))
+    start, number = F.lit(0), []
+    if offsets is not None:
+        rows, start = rows.join(offsets, "doc_id"), F.col("offset")
+        if "first_hit" in offsets.columns:
+            number = [(F.col("first_hit") + F.col("h.i")).alias("hit")]
+    rows = rows.withColumn("toknum", start + F.col("h.pos"))
     return rows.select(
         "doc_id",
         F.col("h.pos").alias("pos"),
+        *number,
         F.struct(
             "toknum", reference_array(refs).alias("Refs"), "h.Left", "h.Kwic", "h.Right"
         ).alias("line"),
@@ -231,8 +260,3 @@ def export_hits(hits: DataFrame, corpname: str, base_url: str) -> DataFrame:
     return hits.withColumn("permalink", permalink(rule, corpname, base_url))
 
 
-__all__ = [
-    "attr_segments", "collect_pages", "concsize", "export_hits", "hit_rows", "kwic", "kwic_text",
-    "make_pages", "numbered_hits", "page", "paged_hits", "percent_encode", "permalink",
-    "plain_segments", "sample_hits", "sentence_view", "stratified_sample", "view_lines",
-]

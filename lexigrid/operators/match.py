@@ -11,7 +11,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lexigrid.functions.text import term_predicate
+from lexigrid.functions.text import term_predicate, tokenize_lower
+from lexigrid.operators.positions import located
 from lexigrid.plans.scale import explode_kept
 
 # attribute name -> token array column
@@ -160,6 +161,16 @@ def within_documents(hits: DataFrame, documents: DataFrame) -> DataFrame:
     return hits.join(documents.select("doc_id").distinct(), "doc_id", "left_semi")
 
 
-def by_ids(tokens: DataFrame, ids: DataFrame) -> DataFrame:
-    """Tokens whose ``toknum`` is listed."""
-    return tokens.join(ids.select("toknum").distinct(), "toknum", "left_semi")
+def by_ids(corpus: DataFrame, offsets: DataFrame, ids: DataFrame) -> DataFrame:
+    """Tokens whose ``toknum`` is listed: ``doc_id, pos, w, toknum``.
+
+    The documents are found by their range of numbers, and only those that hold a wanted token
+    are tokenized. ``corpus`` has ``doc_id`` and ``text``.
+    """
+    places = located(offsets, ids).groupBy("doc_id").agg(F.collect_list(F.struct("pos", "toknum")).alias("_places"))
+    docs = corpus.select("doc_id", "text").join(places, "doc_id")
+    docs = docs.select("doc_id", "_places", tokenize_lower(F.col("text")).alias("_toks"))
+    taken = F.transform(
+        "_places", lambda p: F.struct(p["pos"].alias("pos"), F.get("_toks", p["pos"].cast("int")).alias("w"), p["toknum"].alias("toknum"))
+    )
+    return explode_kept(docs, taken, "t", "doc_id").select("doc_id", "t.*")

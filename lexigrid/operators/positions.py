@@ -36,22 +36,32 @@ def token_rows(corpus: DataFrame, *keep: str | Column) -> DataFrame:
     return posexplode_kept(corpus, F.col("toks"), "w", *keep)
 
 
-def with_offsets(corpus: DataFrame, *carry: str) -> DataFrame:
-    """Per document: ``n_tokens`` and ``offset``, the corpus number of its first token.
+def offsets_of(corpus: DataFrame, hits: bool = False) -> DataFrame:
+    """Per document ``n_tokens`` and ``offset``, the corpus number of its first token; with
+    ``hits`` (of a matched corpus) also ``n_hits`` and ``first_hit``.
 
-    ``carry`` names narrow columns to keep (text types, hits). Token arrays are too
-    wide to ride along: use :func:`join_offsets`.
+    Only numbers are moved. Cut hits or lines on the document row first, then join this on.
     """
     n_tokens = F.size("toks") if "toks" in corpus.columns else count_tokens("text")
-    sizes = corpus.withColumn("n_tokens", n_tokens.cast("bigint"))
-    return running_offsets(sizes, "doc_id", "n_tokens", carry)
+    sizes = [n_tokens.cast("bigint").alias("n_tokens")]
+    sums = {"n_tokens": "offset"}
+    if hits:
+        sizes.append(F.size("hits").cast("bigint").alias("n_hits"))
+        sums["n_hits"] = "first_hit"
+    return running_offsets(corpus.select("doc_id", *sizes), "doc_id", sums)
 
 
-def join_offsets(corpus: DataFrame) -> DataFrame:
-    """Add ``offset`` to document rows; one row per document on both sides."""
-    sizes = corpus.select("doc_id", count_tokens("text").cast("bigint").alias("n_tokens"))
-    offsets = running_offsets(sizes, "doc_id", "n_tokens")
-    return corpus.join(offsets.select("doc_id", "offset"), "doc_id")
+def located(offsets: DataFrame, ids: DataFrame, block: int = 4096) -> DataFrame:
+    """``toknum, doc_id, pos`` of corpus numbers of tokens.
+
+    Documents and numbers meet on blocks of numbers; a document lies in one block per ``block``
+    tokens, and a block holds at most ``block`` documents.
+    """
+    first, last = F.floor(F.col("offset") / block), F.floor((F.col("offset") + F.col("n_tokens") - 1) / block)
+    spans = offsets.filter("n_tokens > 0").withColumn("_block", F.explode(F.sequence(first, last)))
+    wanted = ids.select("toknum").distinct().withColumn("_block", F.floor(F.col("toknum") / block))
+    inside = (F.col("offset") <= F.col("toknum")) & (F.col("toknum") < F.col("offset") + F.col("n_tokens"))
+    return wanted.join(spans, "_block").filter(inside).select("toknum", "doc_id", (F.col("toknum") - F.col("offset")).alias("pos"))
 
 
 def with_toknum(rows: DataFrame, offsets: DataFrame | None = None) -> DataFrame:

@@ -148,13 +148,21 @@ def expand_pages(calls: DataFrame, sizes: DataFrame, max_pages: int = 0) -> Data
     ).drop("_first", "_pagesize", "_last", "_block")
 
 
-def expand_by_values(templates: DataFrame, values: DataFrame) -> DataFrame:
+def expand_by_values(templates: DataFrame, values: DataFrame, blocks: int = 64) -> DataFrame:
     """Calls of a template, one per value of its text type, with a ``within`` clause.
 
     ``templates``: ``call_id, call_type, corpname, attribute, q array<string>``;
-    ``values``: ``corpname, attribute, value``. They meet on corpus and attribute.
+    ``values``: ``corpname, attribute, value``. The values of a text type are gathered (they are
+    what one template becomes, so the result is larger in any case) in ``blocks`` lists, which the
+    templates meet; each template row then opens its lists by itself.
     """
-    pairs = salted_join(values, templates, ["corpname", "attribute"])
+    numbered = values.select("corpname", "attribute", "value").distinct()
+    numbered = numbered.withColumn("_block", F.pmod(F.xxhash64("value"), F.lit(blocks)))
+    lists = numbered.groupBy("corpname", "attribute", "_block").agg(F.collect_list("value").alias("_values"))
+    held = lists.groupBy("corpname", "attribute").agg(F.collect_list("_block").alias("_blocks"))
+    spread = salted_join(templates, held, ["corpname", "attribute"]).withColumn("_block", F.explode("_blocks")).drop("_blocks")
+    met = salted_join(spread, lists, ["corpname", "attribute", "_block"])
+    pairs = met.withColumn("value", F.explode("_values")).drop("_values", "_block")
     clause = F.concat(
         F.lit(" within <"),
         F.substring_index("attribute", ".", 1),

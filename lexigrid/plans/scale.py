@@ -35,50 +35,50 @@ def posexplode_kept(
 
 
 def running_offsets(
-    rows: DataFrame,
-    key: str,
-    size: str,
-    carry: tuple[str, ...] = (),
-    out: str = "offset",
-    buckets: int = 256,
+    rows: DataFrame, key: str, size: str | dict[str, str], out: str = "offset", buckets: int | None = None
 ) -> DataFrame:
-    """Sum of ``size`` over all smaller keys, for unique numeric keys.
+    """``key``, sizes, and for each size its sum over all smaller keys, for unique numeric keys.
 
-    Keys are cut into buckets at approximate quantiles, so that each window holds
-    an equal share of the keys however they are spread. What is passed between the
-    levels is one number per bucket. ``carry`` columns ride along, which saves the
-    caller a join on the key; they are sorted along, so they must be narrow.
+    ``size`` is one column (its sum is called ``out``), or a map from columns to the names of
+    their sums. Keys are cut into buckets at approximate quantiles, so that each window holds an
+    equal share of the keys however they are spread. There are four buckets for each shuffle
+    partition of the session, if ``buckets`` is not given. What is passed between the levels is
+    one number per bucket and size. Only keys and sizes are moved: join what else is needed on.
     """
+    sizes = {size: out} if isinstance(size, str) else size
+    if buckets is None:
+        buckets = max(64, 4 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     cuts = rows.select(
         F.approx_percentile(
             key, F.array(*[F.lit(i / buckets) for i in range(1, buckets)]), 20 * buckets
         ).alias("cuts")
     ).scalar()
     bucketed = (
-        rows.select(key, size, *carry)
+        rows.select(key, *sizes)
         .withColumn("_cuts", F.array_distinct(cuts))
         .withColumn("_bucket", F.size(F.filter("_cuts", lambda c: c < F.col(key))))
         .drop("_cuts")
         .repartition("_bucket")
     )
-    # counting every column keeps the shuffle equal to the main one, so it is reused
-    used = [F.count(c).alias(f"used_{c}") for c in (key, *carry)]
+    # counting the key keeps the shuffle equal to the main one, so it is reused
     totals = (
         bucketed.groupBy("_bucket")
-        .agg(F.sum(size).alias("n"), *used)
-        .agg(F.collect_list(F.struct("_bucket", "n", *[f"used_{c}" for c in (key, *carry)])))
+        .agg(F.count(key).alias("_used"), *[F.sum(s).alias(s) for s in sizes])
+        .agg(F.collect_list(F.struct("_bucket", "_used", *sizes)))
         .scalar()
     )
     before = Window.partitionBy("_bucket").orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
-    earlier = F.aggregate(
-        F.filter("_totals", lambda t: t["_bucket"] < F.col("_bucket")),
-        F.lit(0).cast("bigint"),
-        lambda acc, t: acc + t["n"],
-    )
-    inside = F.coalesce(F.sum(size).over(before), F.lit(0))
-    return bucketed.withColumn("_inside", inside).withColumn("_totals", totals).select(
-        key, size, *carry, (F.col("_inside") + earlier).alias(out)
-    )
+
+    def earlier(size: str) -> Column:
+        return F.aggregate(
+            F.filter("_totals", lambda t: t["_bucket"] < F.col("_bucket")),
+            F.lit(0).cast("bigint"),
+            lambda acc, t: acc + t[size],
+        )
+
+    inside = bucketed.withColumns({f"_{s}": F.coalesce(F.sum(s).over(before), F.lit(0)) for s in sizes})
+    placed = inside.withColumn("_totals", totals)
+    return placed.select(key, *sizes, *[(F.col(f"_{s}") + earlier(s)).alias(name) for s, name in sizes.items()])
 
 
 def materialized(df: DataFrame) -> DataFrame:
@@ -115,36 +115,37 @@ def top_per_group(
     )
 
 
-def smallest(df: DataFrame, draw: str, order: list[str], n: int, direct: int = 100_000) -> DataFrame:
-    """The ``n`` rows with the smallest hex digest ``draw``.
+def smallest(df: DataFrame, draw: str, order: list[str], n: int) -> DataFrame:
+    """The ``n`` rows with the smallest hex digest ``draw``, in no order.
 
-    A small ``n`` is a plain top-n. A large one never meets in one task: rows are counted
-    per leading digits, whole buckets are kept, and only the bucket at the edge is sorted.
+    However large ``n`` is, the rows never meet in one task: they are counted per leading
+    digits, whole buckets are kept, and only the bucket at the edge is ranked.
     """
-    if n <= direct:
-        return df.orderBy(draw, *order).limit(n)
-    bucketed = df.withColumn("_bucket", F.substring(draw, 1, 4))
+    digits = F.conv(F.substring(draw, 1, 4), 16, 10).cast("bigint")
+    bucketed = df.withColumn("_digits", digits)
+    counts = bucketed.groupBy("_digits").agg(F.count("*").alias("_n"))
+    sums = running_offsets(counts, "_digits", "_n", out="_start", buckets=64).filter(F.col("_start") < n)
     # at most 16 ** 4 rows
-    counts = bucketed.groupBy("_bucket").agg(F.count("*").alias("_n"))
-    upto = Window.orderBy("_bucket")
-    sums = counts.withColumn("_end", F.sum("_n").over(upto)).withColumn("_start", F.col("_end") - F.col("_n"))
-    placed = bucketed.join(F.broadcast(sums.filter(F.col("_start") < n)), "_bucket")
-    inside = placed.filter(F.col("_end") <= n)
-    edge = placed.filter(F.col("_end") > n).withColumn(
-        "_rank", F.row_number().over(Window.partitionBy("_bucket").orderBy(draw, *order))
+    placed = bucketed.join(F.broadcast(sums), "_digits")
+    inside = placed.filter(F.col("_start") + F.col("_n") <= n)
+    edge = placed.filter(F.col("_start") + F.col("_n") > n).withColumn(
+        "_rank", F.row_number().over(Window.partitionBy("_digits").orderBy(draw, *order))
     )
     edge = edge.filter(F.col("_rank") <= n - F.col("_start")).drop("_rank")
-    return inside.unionByName(edge).drop("_bucket", "_n", "_start", "_end")
+    return inside.unionByName(edge).drop("_digits", "_n", "_start")
 
 
 def salted_join(
-    many: DataFrame, one: DataFrame, on: list[str], how: str = "inner", salts: int = 8
+    many: DataFrame, one: DataFrame, on: list[str], how: str = "inner", salts: int | None = None
 ) -> DataFrame:
     """Join in which a key of ``many`` may hold a large share of its rows.
 
-    ``one`` has unique keys and is repeated once per salt; a hot key of ``many`` is
-    spread over as many tasks. If ``one`` is small the planner broadcasts it.
+    ``one`` has unique keys (or few rows per key) and is repeated once per salt; a hot key of
+    ``many`` is spread over as many tasks. If ``one`` is small the planner broadcasts it. The
+    default is a salt for every four shuffle partitions of the session, eight at least.
     """
+    if salts is None:
+        salts = max(8, int(many.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 4)
     copies = one.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     salted = many.withColumn("_salt", _salt(many, on, salts))
     return salted.join(copies, [*on, "_salt"], how).drop("_salt")

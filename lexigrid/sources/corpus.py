@@ -19,14 +19,13 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Use all cores on a table that comes in fewer splits than there are cores.
+    """Deal rows to as many parts as the session's ``lexigrid.parts`` says.
 
-    Such a table is small by construction, so the shuffle is too; adaptive execution
-    picks the number of parts. A larger table is read as it lies.
+    For small tables in fewer splits than there are cores. Where it is unset, as it should be for
+    large tables, they are read as they lie.
     """
-    if df.rdd.getNumPartitions() >= df.sparkSession.sparkContext.defaultParallelism:
-        return df
-    return df.repartition(key)
+    parts = df.sparkSession.conf.get("lexigrid.parts", None)
+    return df if parts is None else df.repartition(int(parts), key)
 
 
 def load_corpus(
@@ -38,13 +37,13 @@ def load_corpus(
 ) -> DataFrame:
     """One row per document: ``doc_id``, the text types, ``text``.
 
-    Conversation turns are documents too; their id packs conversation and turn.
+    Conversation turns are documents too; their id is ``conversation:turn``.
     ``labels`` adds the text types ``quality`` and ``toxic``.
     """
     key, types = TABLES[table]
     types = types if text_types is None else text_types
     df = spread(read_table(spark, sf_dir, table), key or "conv_id")
-    doc_id = F.col(key) if key else F.col("conv_id") * 100000 + F.col("turn")
+    doc_id = F.col(key) if key else F.concat_ws(":", "conv_id", "turn")
     corpus = df.select(doc_id.alias("doc_id"), *types, "text")
     if labels:
         # one label row per document, so no key is hot; the planner picks the join

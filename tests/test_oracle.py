@@ -3,6 +3,7 @@
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from lexigrid.catalog import QUERIES
 from tests.oracle import connect, differences
 
 SF = "/root/testdata/sf0.001"
@@ -13,7 +14,7 @@ def con():
     return connect(SF)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
     df = queries()[name](spark, SF)
     sql = oracle_sql().get(name)
