@@ -474,3 +474,17 @@ def test_corpora(spark):
         corpus = with_tokens(load_corpus(spark, "/root/testdata/sf0.001", table))
         assert corpus.filter(F.size("toks") > 0).count() > 0
         assert corpus.count() == corpus.select("doc_id").distinct().count()
+
+
+def test_phrases_find_lemmas(spark):
+    texts = ["Two birds sing", "a bird sang", "the songs of birds"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    lemmas = spark.createDataFrame([("birds", "bird"), ("sang", "sing"), ("songs", "song"), ("bird", "bird")], "lc string, lemma string")
+    phrases = [(1, "bird"), (2, "bird sing"), (3, "son*"), (4, "* bird"), (5, "birds"), (6, "?")]
+    table = spark.createDataFrame(phrases, "phrase_id bigint, phrase string")
+    got = {(h.phrase_id, h.doc_id, h.pos, h.end) for h in phrase_search(docs, table, lemmas=lemmas).collect()}
+    want = {(1, 0, 1, 2), (1, 1, 1, 2), (1, 2, 3, 4), (2, 0, 1, 3), (2, 1, 1, 3), (3, 2, 1, 2)}
+    want |= {(4, 0, 0, 2), (4, 1, 0, 2), (4, 2, 2, 4), (5, 0, 1, 2), (5, 2, 3, 4), (6, 1, 0, 1)}
+    assert got == want
+    plain = {(h.phrase_id, h.doc_id) for h in phrase_search(docs, table).collect()}
+    assert {x for x in plain if x[0] == 1} == {(1, 1)} and (2, 0) not in plain
