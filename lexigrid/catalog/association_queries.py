@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lexigrid.catalog.corpus_queries import documents
+from lexigrid.catalog.corpus_queries import LEXICON_SQL, documents, lexicon
 from lexigrid.catalog.frequency_queries import the_hits
-from lexigrid.catalog.registry import BASE, HITS, LOWER, query
+from lexigrid.catalog.registry import BASE, CORPUS, HITS, LOWER, ORACLES, TOK, query
 from lexigrid.operators import assoc as a
+from lexigrid.operators.positions import lemmatized
 from lexigrid.sources.corpus import load_corpus, with_tokens
 
 COLLS = f"""{BASE}, {HITS}, colls AS (SELECT b.w AS collocate, count(*) AS f_xy FROM hits a JOIN tok b
@@ -144,3 +145,39 @@ def a6(spark, sf_dir):
 @query("a6_thes_top", f"{THES} ORDER BY similarity DESC, word LIMIT 20")
 def a6_top(spark, sf_dir):
     return a.thesaurus(documents(spark, sf_dir), "with", min_freq=3, n=20)
+
+
+# tokens as lemmas, with tags
+LEMMAS = f"""WITH {CORPUS}, {TOK.replace("tok AS", "forms AS", 1)}, {LEXICON_SQL.replace("FROM tok", "FROM forms")},
+tok AS (SELECT doc_id, coalesce(lemma, w) AS w, coalesce(tag, '') AS tag, pos, n FROM forms LEFT JOIN lexicon ON w = lc)"""
+
+
+def lemmas(spark, sf_dir):
+    corpus = documents(spark, sf_dir)
+    return lemmatized(corpus, lexicon(corpus))
+
+
+@query(
+    "a4_wsketch_tag",
+    f"""{LEMMAS}, slots AS (SELECT 'left1' AS relation, w AS collocate, count(*) AS f_slot FROM tok WHERE pos + 1 < n GROUP BY 2
+          UNION ALL SELECT 'noun_right1', w, count(*) FROM tok WHERE pos >= 1 AND tag = 'NN1' GROUP BY 2),
+        {sketch_sql('with', 'k').replace("'right1'", "'noun_right1'").replace("pos + 1 WHERE a.w = 'with'", "pos + 1 AND b.tag = 'NN1' WHERE a.w = 'with'")}
+        SELECT relation, collocate, f, f_rel, f_slot, round(logdice, 6) AS logdice FROM k_scored WHERE f >= 2""",
+)
+def a4_tag(spark, sf_dir):
+    relations = {"left1": -1, "noun_right1": (1, "^NN1$")}
+    return a.word_sketch(lemmas(spark, sf_dir), "with", relations, min_freq=2)
+
+
+def on_lemmas(sql):
+    return sql.replace(BASE, LEMMAS, 1)
+
+
+@query("a5_wsdiff_lemma", on_lemmas(ORACLES["a5_wsdiff"]))
+def a5_lemma(spark, sf_dir):
+    return a.sketch_diff(lemmas(spark, sf_dir), "with", "by", min_freq=2)
+
+
+@query("a6_thes_lemma", on_lemmas(THES))
+def a6_lemma(spark, sf_dir):
+    return a.thesaurus(lemmas(spark, sf_dir), "with", min_freq=3)

@@ -14,9 +14,11 @@ from lexigrid.functions.measures import (
 from lexigrid.operators.freq import per_million, wordlist
 from lexigrid.operators.match import match, term
 from lexigrid.operators.positions import token_rows
-from lexigrid.plans.scale import explode_kept, materialized, salted_join
+from lexigrid.plans.scale import explode_kept, materialized, posexplode_kept, salted_join
 
-RELATIONS = {"left1": -1, "right1": 1}
+#: an offset, or an offset and a pattern of tags
+Relation = int | tuple[int, str]
+RELATIONS: dict[str, Relation] = {"left1": -1, "right1": 1}
 
 
 def _around(hit: Column, first: int, last: int) -> Column:
@@ -94,14 +96,28 @@ def keywords(
     return out.orderBy(F.desc("score"), "value").limit(n) if n else out
 
 
-def _slot_totals(corpus: DataFrame, relations: dict[str, int]) -> DataFrame:
+def _slot(relation: Relation) -> tuple[int, str | None]:
+    """Offset of a relation, and the pattern that the collocate's tag has to match."""
+    return relation if isinstance(relation, tuple) else (relation, None)
+
+
+def _slot_totals(corpus: DataFrame, relations: dict[str, Relation]) -> DataFrame:
     """f(., relation, word): how often each word fills each slot of any token."""
-    rows = token_rows(corpus.withColumn("n", F.size("toks")), "n")
-    start = F.col("pos")
-    filled = [
-        F.count(F.when((start - k >= 0) & (start - k < F.col("n")), 1)).alias(name)
-        for name, k in relations.items()
-    ]
+    tagged = any(_slot(r)[1] for r in relations.values())
+    sized = corpus.withColumn("n", F.size("toks"))
+    if tagged:
+        cells = F.arrays_zip("toks", "tag").cast("array<struct<w:string,tag:string>>")
+        rows = posexplode_kept(sized, cells, "c", "n").select("n", "pos", "c.w", "c.tag")
+    else:
+        rows = token_rows(sized, "n")
+
+    def fills(relation: Relation) -> Column:
+        k, tag = _slot(relation)
+        start = F.col("pos") - k
+        inside = (start >= 0) & (start < F.col("n"))
+        return inside if tag is None else inside & F.rlike("tag", F.lit(tag))
+
+    filled = [F.count(F.when(fills(r), 1)).alias(name) for name, r in relations.items()]
     counted = rows.groupBy(F.col("w").alias("collocate")).agg(*filled)
     pairs = F.array(
         *[F.struct(F.lit(r).alias("relation"), F.col(r).alias("f_slot")) for r in relations]
@@ -109,7 +125,7 @@ def _slot_totals(corpus: DataFrame, relations: dict[str, int]) -> DataFrame:
     return counted.select("collocate", F.inline(pairs))
 
 
-def _sketches(corpus: DataFrame, lemmas: list[str], relations: dict[str, int]) -> DataFrame:
+def _sketches(corpus: DataFrame, lemmas: list[str], relations: dict[str, Relation]) -> DataFrame:
     """``w1, relation, collocate, f, f_rel, f_slot, logdice`` for the given words."""
     near = None
     out = corpus
@@ -131,31 +147,39 @@ def _sketches(corpus: DataFrame, lemmas: list[str], relations: dict[str, int]) -
     return joined.withColumn("logdice", log_dice(F.col("f"), F.col("f_rel"), F.col("f_slot")))
 
 
-def _neighbours(hits: Column, lemma: str, relations: dict[str, int]) -> Column:
+def _neighbours(hits: Column, lemma: str, relations: dict[str, Relation]) -> Column:
     def of(hit: Column) -> Column:
         return F.array(
             *[
                 F.struct(
                     F.lit(lemma).alias("w1"),
                     F.lit(name).alias("relation"),
-                    _neighbour(hit, k).alias("collocate"),
+                    _neighbour(hit, *_slot(r)).alias("collocate"),
                 )
-                for name, k in relations.items()
+                for name, r in relations.items()
             ]
         )
 
     return F.flatten(F.transform(hits, of))
 
 
-def _neighbour(hit: Column, offset: int) -> Column:
+def _neighbour(hit: Column, offset: int, tag: str | None) -> Column:
     at = hit["pos"] + (offset + 1)
-    return F.when(at >= 1, F.try_element_at(F.col("toks"), F.greatest(at, F.lit(1))))
+    place = F.greatest(at, F.lit(1))
+    fits = at >= 1
+    if tag is not None:
+        fits = fits & F.rlike(F.try_element_at(F.col("tag"), place), F.lit(tag))
+    return F.when(fits, F.try_element_at(F.col("toks"), place))
 
 
 def word_sketch(
-    corpus: DataFrame, lemma: str, relations: dict[str, int] = RELATIONS, min_freq: int = 1
+    corpus: DataFrame, lemma: str, relations: dict[str, Relation] = RELATIONS, min_freq: int = 1
 ) -> DataFrame:
-    """Collocates of a word by relation; a relation is a positional slot."""
+    """Collocates of a word by relation.
+
+    A relation is a positional slot, or a slot and a pattern for the collocate's tag. On a
+    lemmatized corpus the word and its collocates are lemmas.
+    """
     return (
         _sketches(corpus, [lemma], relations)
         .filter(F.col("f") >= min_freq)
@@ -164,7 +188,7 @@ def word_sketch(
 
 
 def sketch_diff(
-    corpus: DataFrame, lemma: str, lemma2: str, relations: dict[str, int] = RELATIONS, min_freq: int = 1
+    corpus: DataFrame, lemma: str, lemma2: str, relations: dict[str, Relation] = RELATIONS, min_freq: int = 1
 ) -> DataFrame:
     """Two sketches side by side; what one lacks counts as 0.
 

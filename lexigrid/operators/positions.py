@@ -82,6 +82,17 @@ def annotate(positions: DataFrame, lexicon: DataFrame) -> DataFrame:
     )
 
 
+def lemmatized(corpus: DataFrame, lexicon: DataFrame) -> DataFrame:
+    """Documents whose ``toks`` are lemmas, with a ``tag`` array (empty where the lexicon has none).
+
+    What counts words then counts lemmas. A group is one document.
+    """
+    rows = annotate(posexplode_kept(corpus, F.col("toks"), "lc", "doc_id"), lexicon)
+    cells = F.struct("pos", "lemma", F.coalesce("tag", F.lit("")).alias("tag"))
+    packed = rows.groupBy("doc_id").agg(F.array_sort(F.collect_list(cells)).alias("t"))
+    return packed.select("doc_id", F.col("t.lemma").alias("toks"), F.col("t.tag").alias("tag"))
+
+
 def attribute_arrays(annotated: DataFrame, *keep: str) -> DataFrame:
     """Token rows back to one row per document, with one array per attribute.
 
