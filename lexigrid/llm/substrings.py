@@ -196,13 +196,14 @@ def _send(size: int, gram: int):
         many = np.bincount(group[new], minlength=int(group[-1]) + 1) > SPREAD
         flag = np.where(~new, 2, np.where(many[group], 1, 0)).astype(np.int32)
         marks = np.flatnonzero(new_h & many[group])
-        route = np.where(flag == 0, h, mix(np.where(flag == 2, ids.view(U64) + place.view(U64), h ^ mix(code))))
         take = np.concatenate([np.arange(len(h)), marks])
+        # of what is settled only the place counts: no hashes go along
+        h = np.where(flag == 2, ids.view(U64), h)
+        code = np.where(flag == 2, code & U64(16383), code)
         flag = np.concatenate([flag, np.full(len(marks), 3, np.int32)])
-        route = np.concatenate([route, h[marks]])
         return pa.RecordBatch.from_arrays(
-            [pa.array(route.view(np.int64)), pa.array(h[take].view(np.int64)), pa.array(code[take].view(np.int64)), pa.array(ids[take]), pa.array(place[take]), pa.array(flag)],
-            ["_route", "_h", "_code", "_id", "_place", "_flag"],
+            [pa.array(h[take].view(np.int64)), pa.array(code[take].view(np.int64)), pa.array(ids[take]), pa.array(place[take]), pa.array(flag)],
+            ["_h", "_code", "_id", "_place", "_flag"],
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -226,13 +227,13 @@ def _send(size: int, gram: int):
 
 
 def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of blocks sorted by route, anchor, block and place: repeats (kind 0), and the first of each
-    block whose anchor has several (kind 1)."""
+    """Of blocks sorted by anchor, block and place: repeats (kind 0, without hashes), and the first
+    of each block whose anchor has several (kind 1)."""
     held: pa.Table | None = None
 
     def judged(table: pa.Table) -> pa.RecordBatch:
-        route, h, code, flag = (table.column(c).to_numpy() for c in ("_route", "_h", "_code", "_flag"))
-        new_h = np.concatenate([[True], (h[1:] != h[:-1]) | (route[1:] != route[:-1])])
+        h, code, flag = (table.column(c).to_numpy() for c in ("_h", "_code", "_flag"))
+        new_h = np.concatenate([[True], h[1:] != h[:-1]])
         group = np.cumsum(new_h) - 1
         plain = flag < 2
         # marks and settled repeats are no blocks of their own here
@@ -248,16 +249,18 @@ def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind[at[1:][~new[1:] & (ids[1:] == ids[:-1]) & (place[1:] == place[:-1])]] = -1
         kind[at[new & several[group[at]]]] = 1
         kept = np.flatnonzero(kind >= 0)
+        first = kind[kept] == 1
+        hashes = [pa.array(np.where(first, h[kept], 0)), pa.array(np.where(first, code[kept], code[kept] & 16383))]
         return pa.RecordBatch.from_arrays(
-            [pa.array(kind[kept])] + [table.column(c).combine_chunks().take(pa.array(kept)) for c in ("_h", "_code", "_id", "_place")],
+            [pa.array(kind[kept]), *hashes] + [table.column(c).combine_chunks().take(pa.array(kept)) for c in ("_id", "_place")],
             ["_kind", "_h", "_code", "_id", "_place"],
         )
 
     for batch in batches:
         table = pa.Table.from_batches([batch])
         held = table if held is None else pa.concat_tables([held, table]).combine_chunks()
-        route = held.column("_route").to_numpy()
-        other = np.flatnonzero(route != route[-1]) if len(route) else []
+        h = held.column("_h").to_numpy()
+        other = np.flatnonzero(h != h[-1]) if len(h) else []
         if len(other):
             last = int(other[-1]) + 1
             yield judged(held.slice(0, last).combine_chunks())
@@ -320,6 +323,11 @@ def _compare(size: int, part: int):
     for anchors that were cut the first places of all other windows (with their hash)."""
 
     def judged(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        # repeated rows bring the same block again
+        ids, tags, start = (table.column(c).to_numpy() for c in ("_id", "_tag", "_start"))
+        order = np.lexsort((start, tags, ids))
+        new = (ids[order][1:] != ids[order][:-1]) | (tags[order][1:] != tags[order][:-1]) | (start[order][1:] != start[order][:-1])
+        table = table.take(pa.array(order[np.concatenate([[True], new])])).combine_chunks()
         ids, tags, start, code, cut = (table.column(c).to_numpy() for c in ("_id", "_tag", "_start", "_code", "_cuts"))
         texts = texts_of(_binary(table.column("_block")))
         data, offsets = texts.data, texts.offsets
@@ -420,20 +428,22 @@ def repeated_substrings(
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("_id"), F.col(id_col).alias("_own"), text.alias("_text"))
     rows = rows.withColumn("_tag", F.pmod(F.xxhash64("_text"), F.lit(1 << 16)))
     sent = rows.select("_id", "_tag", "_text").mapInArrow(
-        _send(size, gram), "_route long, _h long, _code long, _id long, _place long, _flag int"
+        _send(size, gram), "_h long, _code long, _id long, _place long, _flag int"
     )
-    sorted_ = sent.repartition("_route").sortWithinPartitions("_route", "_h", "_code", "_id", "_place")
+    by_block, by_place = F.xxhash64("_h", "_code"), F.xxhash64("_id", "_place")
+    route = F.when(F.col("_flag") == 1, by_block).when(F.col("_flag") == 2, by_place).otherwise(F.col("_h"))
+    sorted_ = sent.repartition(route).sortWithinPartitions("_h", "_code", "_id", "_place")
     settled = sorted_.mapInArrow(_settle, "_kind int, _h long, _code long, _id long, _place long")
     tag = F.shiftright("_place", PLACE_BITS)
     listed = settled.groupBy("_id", tag.alias("_tag")).agg(F.collect_list(F.struct("_kind", "_h", "_code", "_place")).alias("_entries"))
     met = rows.select("_id", "_tag", "_text").join(listed, ["_id", "_tag"]).select("_id", "_tag", "_text", "_entries")
     state = met.mapInArrow(each_slice(_from_documents(size), "_text"), f"_id long, _tag long, _spans {_SPANS}, _blocks {_BLOCKS}")
-    # rows with the same id and text are one document
-    state = materialized(state.dropDuplicates(["_id", "_tag"]))
+    state = materialized(state)
     blocks = state.select("_id", "_tag", F.explode("_blocks").alias("_b"))
     blocks = blocks.select("_id", "_tag", F.col("_b.h").alias("_h"), F.col("_b.code").alias("_code"), F.col("_b.start").alias("_start"), F.col("_b.text").alias("_block"))
     runs = _covered(blocks, size, part).groupBy("_id", "_tag").agg(F.collect_list(F.struct("_start", "_run")).alias("_runs"))
-    spans = state.select("_id", "_tag", "_spans").join(runs, ["_id", "_tag"], "left")
+    # rows with the same id and text are one document
+    spans = state.select("_id", "_tag", "_spans").dropDuplicates(["_id", "_tag"]).join(runs, ["_id", "_tag"], "left")
     out = rows.join(spans, ["_id", "_tag"], "left")
     late = F.transform("_runs", lambda r: F.struct(r["_start"].alias("start"), (r["_start"] + r["_run"] - 1 + size).alias("end")))
     none = F.array().cast(_SPANS)
