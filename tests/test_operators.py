@@ -465,7 +465,7 @@ def test_format_guard(spark):
         "key string, format string, text string, headers map<string,string>",
     )
     assert [x.key for x in src.require_format(rows, strict=False).collect()] == ["a"]
-    with pytest.raises(Exception, match="usable with"):
+    with pytest.raises(Exception, match="needs a json"):
         src.require_format(rows).collect()
 
 
