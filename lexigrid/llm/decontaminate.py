@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from lexigrid.llm.registry import query
 from lexigrid.llm.words import broadcast_if_small, words_of
-from lexigrid.plans.scale import explode_kept, materialized, posexplode_kept
+from lexigrid.plans.scale import explode_kept, materialized, posexplode_kept, with_once
 
 SIZE = 10
 #: broadcast windows and words up to this number; more are joined by shuffle
@@ -80,11 +80,11 @@ def _judged(
         .groupBy("_key")
         .agg(F.collect_set(F.struct("_start", "_length", "_wid", "_want")).alias("_candidates"))
     )
-    checked = rows.join(candidates, "_key", "left").select(
-        "_id", "_key", words_of(F.coalesce("_text", F.lit(""))).alias("_words"), "_candidates"
-    )
+    checked = rows.join(candidates, "_key", "left").select("_id", "_key", F.coalesce("_text", F.lit("")).alias("_text"), "_candidates")
+    # words and spans are computed once each, also where only some columns are asked for
+    checked = with_once(checked, "_words", words_of(F.col("_text"))).drop("_text")
     same = F.filter("_candidates", lambda c: F.slice(F.col("_words"), c["_start"] + 1, c["_length"]) == c["_want"])
-    found = checked.select("_id", "_key", F.size("_words").cast("long").alias("n_words"), same.alias("_found"))
+    found = with_once(checked.withColumn("n_words", F.size("_words").cast("long")), "_found", same)
     spans = F.transform("_found", lambda c: F.sequence(c["_start"], c["_start"] + c["_length"] - 1))
     hit = F.coalesce(F.size(F.array_distinct(F.flatten(spans))), F.lit(0)).cast("long")
     wids = F.array_distinct(F.transform("_found", lambda c: c["_wid"]))
