@@ -38,8 +38,8 @@ GRAM = 32
 #: blocks of one anchor in one task from which it is dealt out by block
 SPREAD = 8
 #: blocks in memory before a task sends them on
-HELD = 2_000_000
-PART = 32_768
+HELD = 1_000_000
+PART = 8_192
 #: a place is 16 bits of the text's hash, then 44 bits of byte position
 PLACE_BITS = 44
 NO_ID = -(1 << 63)
