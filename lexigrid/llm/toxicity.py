@@ -3,10 +3,11 @@
 Features: density and weight of lexicon words, those within three words of a second-person
 pronoun, those that appear only after undoing look-alike characters, capitals, exclamation marks,
 punctuation, mixed words and length. The lexicon is learned too: words much more frequent in
-toxic rows than elsewhere.
+toxic rows than elsewhere, and starts of words, since endings and compounds vary by language.
 
-Everything is learned from a bounded sample of labelled rows outside the held-out fifth: one half
-gives the lexicon, one quarter the trees, one quarter the calibration. Defined cases: a null text
+Everything is learned from a bounded sample of labelled rows outside the held-out fifth, in four
+parts. The features of each part come from the lexicon of the other three, those of unrated rows
+from the lexicon of all; three parts give the trees, one the calibration. Defined cases: a null text
 counts as empty and is scored like any other; without labels of both classes every score is the
 share of label 1 (0 without labels); a null id is not held out; rows are independent, so repeated
 rows give repeated results; an empty table gives no rows.
@@ -27,6 +28,9 @@ from lexigrid.llm.samples import sample_labels
 #: second-person words of the main languages (fixed values)
 SECOND_PERSON = "you your yours yourself u ur du dich dir dein deine ihr euch sie tu toi te ton vous votre usted ustedes tú vosotros".split()
 NEAR = 3
+#: lengths in bytes of the starts of words in the lexicon, and what tells these from whole words
+STARTS, _START = (4, 5, 6, 7, 8), np.uint64(0x5A17C0DE5A17C0DE)
+PARTS = 4
 _LOOKALIKE = np.arange(256, dtype=np.uint8)
 _LOOKALIKE[list(b"013457@$!")] = list(b"oieastasi")
 _DIGIT = np.zeros(256, bool)
@@ -37,9 +41,25 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 
 
-def _word_hashes(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _units(texts: Texts) -> tuple[np.ndarray, list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the words, then of their starts of each length (of the word itself where that is
+    shorter), and the words' places."""
     starts, ends, first = texts.words()
-    return span_hash(prefix_hash(texts.data), starts, ends), starts, ends, first
+    sums = prefix_hash(texts.data)
+    whole = span_hash(sums, starts, ends)
+    begun = []
+    for k in STARTS:
+        long = ends - starts >= k
+        begun.append(np.where(long, span_hash(sums, starts, np.minimum(starts + k, ends)) ^ _START, whole))
+    return whole, begun, starts, ends, first
+
+
+def _most(whole: np.ndarray, begun: list[np.ndarray], lexicon: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Per word the largest weight of the word and its starts."""
+    out = _weights(whole, lexicon, weights)
+    for hashes in begun:
+        out = np.maximum(out, _weights(hashes, lexicon, weights))
+    return out
 
 
 def _weights(hashes: np.ndarray, lexicon: np.ndarray, weights: np.ndarray) -> np.ndarray:
@@ -57,9 +77,9 @@ def _sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 def dense_features(texts: Texts, lexicon: np.ndarray, weights: np.ndarray) -> np.ndarray:
     """One row of features per text."""
     low = texts.lowered()
-    hashes, starts, ends, first = _word_hashes(low)
+    hashes, begun, starts, ends, first = _units(low)
     n = np.maximum(np.diff(first), 1)
-    weight = _weights(hashes, lexicon, weights)
+    weight = _most(hashes, begun, lexicon, weights)
     hit = weight > 0
     pronouns = np.sort(np.array([hash_bytes(w.encode()) for w in SECOND_PERSON], np.uint64))
     person = _weights(hashes, pronouns, np.ones(len(pronouns))) > 0
@@ -70,8 +90,8 @@ def dense_features(texts: Texts, lexicon: np.ndarray, weights: np.ndarray) -> np
         near[d:] |= person[:-d] & same
         near[:-d] |= person[d:] & same
     plain = Texts(_LOOKALIKE[low.data], low.offsets)
-    h2, _, _, first2 = _word_hashes(plain)
-    undone = _weights(h2, lexicon, weights) > 0
+    h2, begun2, _, _, first2 = _units(plain)
+    undone = _most(h2, begun2, lexicon, weights) > 0
     hits, hits2 = _sums(hit, first), _sums(undone, first2)
     digits = np.concatenate([[0], np.cumsum(_DIGIT[low.data])])
     n_digits = digits[ends] - digits[starts]
@@ -198,54 +218,64 @@ def train(
     sample = sample_labels(usable, id_col, label, per_level)
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     rated = rows.join(F.broadcast(sample), "_id").select(
-        "_level", "_weight", F.pmod(F.xxhash64("_id", F.lit(11)), F.lit(4)).cast("int").alias("_part"), "_text"
+        "_level", "_weight", F.pmod(F.xxhash64("_id", F.lit(11)), F.lit(PARTS)).cast("int").alias("_part"), "_text"
     )
 
     def distinct(part: pa.RecordBatch, texts: Texts) -> pa.RecordBatch:
-        hashes, _, _, first = _word_hashes(texts.lowered())
-        own = [np.unique(hashes[a:b]) for a, b in zip(first, first[1:])]
+        whole, begun, _, _, first = _units(texts.lowered())
+        own = [np.unique(np.concatenate([h[a:b] for h in (whole, *begun)])) for a, b in zip(first, first[1:])]
         bounds = np.concatenate([[0], np.cumsum([len(x) for x in own])])
         flat = np.concatenate(own) if own else np.empty(0, np.uint64)
-        return pa.RecordBatch.from_arrays([part.column(0), lists(flat.view(np.int64), bounds, pa.int64())], ["_level", "_words"])
-
-    half = rated.filter("_part < 2")
-    words = half.mapInArrow(each_slice(distinct, "_text"), "_level int, _words array<long>")
-    totals = {r["_level"]: r["count"] for r in half.groupBy("_level").count().collect()}
-    n1, n0 = totals.get(1, 0), totals.get(0, 0)
-    if not n1 or not n0:
-        counts = rated.groupBy().agg(F.avg(F.col("_level").cast("double"))).first()[0]
-        return Toxicity(np.empty(0, np.uint64), np.empty(0), None, None, float(counts or 0.0))
-    one, zero = F.sum("_level"), F.sum(1 - F.col("_level"))
-    ratio = F.log((F.col("a") + 0.5) / (n1 + 1.0)) - F.log((F.col("b") + 0.5) / (n0 + 1.0))
-    table = (
-        words.select("_level", F.explode("_words").alias("word"))
+        return pa.RecordBatch.from_arrays(
+            [part.column(0), part.column(2), lists(flat.view(np.int64), bounds, pa.int64())], ["_level", "_part", "_words"]
+        )
+
+    words = rated.mapInArrow(each_slice(distinct, "_text"), "_level int, _part int, _words array<long>")
+    totals = {(r["_level"], r["_part"]): r["count"] for r in rated.groupBy("_level", "_part").count().collect()}
+    n = [sum(c for (level, _), c in totals.items() if level == k) for k in (0, 1)]
+    if not n[0] or not n[1]:
+        return Toxicity(np.empty(0, np.uint64), np.empty(0), None, None, n[1] / (n[0] + n[1]) if sum(n) else 0.0)
+    in_part = lambda level, p: F.sum(((F.col("_level") == level) & (F.col("_part") == p)).cast("long"))
+    counts = (
+        words.select("_level", "_part", F.explode("_words").alias("word"))
         .groupBy("word")
-        .agg(one.alias("a"), zero.alias("b"))
-        .filter(F.col("a") >= least)
-        .withColumn("odds", ratio)
-        .withColumn("z", F.col("odds") / F.sqrt(1 / (F.col("a") + 0.5) + 1 / (F.col("b") + 0.5)))
-        .filter("z > 4")
-        .orderBy(F.desc("z"), "word")
-        .limit(lexicon_size)
-        .toPandas()
+        .agg(*[in_part(level, p).alias(f"{'ba'[level]}{p}") for level in (0, 1) for p in range(PARTS)])
     )
-    lexicon = table["word"].to_numpy(np.int64).view(np.uint64)
-    order = np.argsort(lexicon)
-    lexicon, weights = lexicon[order], table["odds"].to_numpy(float)[order]
+
+    def apart(left_out: int) -> tuple:
+        """Odds and z of each unit without one part (without none: -1)."""
+        parts = [p for p in range(PARTS) if p != left_out]
+        seen = [sum((F.col(f"{c}{p}") for p in parts), F.lit(0)) for c in "ba"]
+        size = [sum(totals.get((level, p), 0) for p in parts) for level in (0, 1)]
+        odds = F.log((seen[1] + 0.5) / (size[1] + 1.0)) - F.log((seen[0] + 0.5) / (size[0] + 1.0))
+        z = odds / F.sqrt(1 / (seen[1] + 0.5) + 1 / (seen[0] + 0.5))
+        return odds, F.when((seen[1] >= least) & (z > 4), z).otherwise(0.0)
+
+    kept = [apart(p) for p in range(-1, PARTS)]
+    table = counts.select("word", *[c.alias(f"{name}{i}") for i, pair in enumerate(kept) for name, c in zip(("odds", "z"), pair)])
+    table = table.withColumn("_z", F.greatest(*[f"z{i}" for i in range(len(kept))])).filter("_z > 0")
+    table = table.orderBy(F.desc("_z"), "word").limit(lexicon_size).toPandas()
+    lexicons = []
+    for i in range(len(kept)):
+        own = table[table[f"z{i}"] > 0]
+        hashes = own["word"].to_numpy(np.int64).view(np.uint64)
+        order = np.argsort(hashes)
+        lexicons.append((hashes[order], own[f"odds{i}"].to_numpy(float)[order]))
+    lexicon, weights = lexicons[0]
 
     def dense(part: pa.RecordBatch, texts: Texts) -> pa.RecordBatch:
-        x = dense_features(texts, lexicon, weights)
+        own = part.column(2).to_numpy()
+        each = [dense_features(texts, *lexicons[1 + p]) for p in range(PARTS)]
+        x = np.choose(own[:, None], each)
         bounds = np.arange(len(x) + 1) * x.shape[1]
         return pa.RecordBatch.from_arrays(
             [part.column(0), part.column(1), part.column(2), lists(x.ravel(), bounds, pa.float64())], ["_level", "_weight", "_part", "x"]
         )
 
     # bounded by 2 * per_level rows
-    got = rated.filter("_part >= 2").mapInArrow(
-        each_slice(dense, "_text"), "_level int, _weight double, _part int, x array<double>"
-    ).toPandas()
-    y, w, fit = got["_level"].to_numpy(float), got["_weight"].to_numpy(float), got["_part"].to_numpy() == 2
-    share = n1 / (n1 + n0)
+    got = rated.mapInArrow(each_slice(dense, "_text"), "_level int, _weight double, _part int, x array<double>").toPandas()
+    y, w, fit = got["_level"].to_numpy(float), got["_weight"].to_numpy(float), got["_part"].to_numpy() != PARTS - 1
+    share = n[1] / sum(n)
     if len({*y[fit]}) < 2 or len({*y[~fit]}) < 2:
         return Toxicity(lexicon, weights, None, None, share)
     x = np.stack(got["x"].to_numpy())
@@ -260,14 +290,14 @@ def toxicity(
     text_col: str = "text",
     label: str = "toxic",
     per_level: int = 6000,
-    lexicon_size: int = 300,
+    lexicon_size: int = 100_000,
     least: int = 5,
     folds: int = 5,
 ) -> DataFrame:
     """One row per document: id, ``held_out``, ``score``, ``predicted``.
 
     ``per_level`` bounds the labelled rows of each class that are learned from, ``lexicon_size``
-    the learned lexicon. Rows whose crc32 of the id is divisible by ``folds`` are held out.
+    the learned lexicon of words and starts of words. Rows whose crc32 of the id is divisible by ``folds`` are held out.
     """
     model = train(docs, labels, id_col, text_col, label, per_level, lexicon_size, least, folds)
     shared = docs.sparkSession.sparkContext.broadcast(model)
