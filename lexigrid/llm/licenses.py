@@ -5,8 +5,9 @@ templates hold that run. A match votes for the diagonal ``document position - te
 position``; votes are added per document, template and diagonal, neighbouring diagonals
 (a word more or less) are merged, and each merged span is verified on the words themselves.
 
-Short phrases vote with pairs of words and must stand word for word; notices vote with runs
-of four and must keep ``min_cover`` of their words in order.
+Short phrases vote with pairs of words and must stand word for word. Notices must keep ``min_cover``
+of their words in order, on the stretch that the diagonal gives to the whole wording; they vote with
+the longest runs (up to four words) of which one is left however the other words are replaced.
 
 Defined cases: a null text counts as empty; a row is known by its id and text together, so
 repeated rows give repeated results and null ids are kept; a document without a match has
@@ -15,7 +16,9 @@ null word positions, empty labels and score 0; an empty table gives no rows.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
@@ -46,57 +49,65 @@ NOTICES = [
 SHORT, LONG = 2, 4
 
 
-def template_positions(phrases=None, notices=None) -> list[tuple[int, int, int, int]]:
+def run_length(n: int, min_cover: float) -> int:
+    """Words of the run that a notice of ``n`` words keeps wherever those it may lose stand."""
+    need = max(1, ceil(n * min_cover - 1e-9))
+    return min(LONG, ceil(need / (n - need + 1)))
+
+
+def template_positions(phrases=None, notices=None, min_cover: float = 0.8) -> list[tuple[int, int, int, int]]:
     """(hash, template number, template position, k) of each run of words of the templates."""
     rows = []
-    for number, (text, k) in enumerate(_templates(phrases, notices)):
+    for number, (text, k) in enumerate(_templates(phrases, notices, min_cover)):
         hashes = np.array([hash_bytes(w.encode()) for w in text.split()], U64)
         rows += [(int(h), number, i, k) for i, h in enumerate(grams(hashes, k).astype(np.int64))]
     return rows
 
 
-def _templates(phrases, notices) -> list[tuple[str, int]]:
-    return [(t, SHORT) for _, t in phrases or PHRASES] + [(t, LONG) for _, t in notices or NOTICES]
+def _templates(phrases, notices, min_cover: float = 0.8) -> list[tuple[str, int]]:
+    return [(t, SHORT) for _, t in phrases or PHRASES] + [(t, run_length(len(t.split()), min_cover)) for _, t in notices or NOTICES]
 
 
-def _runs(part: pa.RecordBatch, texts: Texts) -> pa.RecordBatch:
-    """Per text all runs of two words, then all runs of four."""
+def _runs(part: pa.RecordBatch, texts: Texts, lengths: list[int]) -> pa.RecordBatch:
+    """Per text all runs of the first length, then those of the next ones, and where each begin."""
     low = texts.lowered()
     starts, ends, first = low.words()
     hashes = span_hash(prefix_hash(low.data), starts, ends)
     n = np.diff(first)
-    sizes = [np.maximum(n - k + 1, 0) for k in (SHORT, LONG)]
-    bounds = np.concatenate([[0], np.cumsum(sizes[0] + sizes[1])])
+    sizes = [np.maximum(n - k + 1, 0) for k in lengths]
+    bounds = np.concatenate([[0], np.cumsum(sum(sizes))])
     out = np.empty(bounds[-1], U64)
     offset = np.zeros(len(n), np.int64)
-    for k, size in zip((SHORT, LONG), sizes):
+    begin = []
+    for k, size in zip(lengths, sizes):
+        begin.append(offset.copy())
         g = grams(hashes, k)
         text = np.repeat(np.arange(len(n)), size)
         within = np.arange(len(text)) - np.repeat(np.cumsum(size) - size, size)
         out[bounds[text] + offset[text] + within] = g[first[text] + within]
         offset += size
-    return pa.RecordBatch.from_arrays(
-        [part.column(0), pa.array(sizes[0], pa.int32()), lists(out.view(np.int64), bounds, pa.int64())],
-        ["_key", "_pairs", "_runs"],
-    )
+    begun = lists(np.column_stack(begin).ravel(), np.arange(len(n) + 1) * len(lengths), pa.int64())
+    return pa.RecordBatch.from_arrays([part.column(0), begun, lists(out.view(np.int64), bounds, pa.int64())], ["_key", "_begin", "_runs"])
 
 
-def _spans(rows: DataFrame, phrases, notices, slack: int) -> DataFrame:
+def _spans(rows: DataFrame, phrases, notices, slack: int, min_cover: float) -> DataFrame:
     """Per row key the merged spans of each template."""
     spark = rows.sparkSession
+    positions = template_positions(phrases, notices, min_cover)
+    lengths = sorted({k for *_, k in positions})
     table = spark.createDataFrame(
-        template_positions(phrases, notices), "_run long, _template int, _at int, _k int"
+        [(run, t, at, k, lengths.index(k)) for run, t, at, k in positions], "_run long, _template int, _at int, _k int, _slot int"
     )
-    runs = rows.select("_key", "_text").mapInArrow(each_slice(_runs, "_text"), "_key long, _pairs int, _runs array<long>")
-    each = runs.select("_key", "_pairs", F.posexplode("_runs").alias("_pos", "_run"))
-    # the templates are a fixed list in this file (or the caller's), some hundred positions
-    hits = each.join(F.broadcast(table), "_run").select(
-        "_key",
-        "_template",
-        "_k",
-        (F.col("_pos") - F.when(F.col("_k") == LONG, F.col("_pairs")).otherwise(0)).alias("_pos"),
-        "_at",
+    runs = rows.select("_key", "_text").mapInArrow(
+        each_slice(lambda part, texts: _runs(part, texts, lengths), "_text"), "_key long, _begin array<long>, _runs array<long>"
     )
+    each = runs.select("_key", "_begin", F.posexplode("_runs").alias("_pos", "_run"))
+    # the templates are a fixed list in this file (or the caller's), some hundred positions
+    hits = each.join(F.broadcast(table), "_run").withColumn("_pos", F.col("_pos") - F.get("_begin", F.col("_slot")))
+    # the same words hashed as a run of another length do not count
+    hits = hits.filter(
+        (F.col("_pos") >= 0) & (F.col("_pos") < F.coalesce(F.get("_begin", F.col("_slot") + 1), F.lit(1 << 62)) - F.get("_begin", F.col("_slot")))
+    ).select("_key", "_template", "_k", "_pos", "_at")
     diagonals = (
         hits.groupBy("_key", "_template", (F.col("_pos") - F.col("_at")).alias("_diagonal"))
         .agg(F.count("*").alias("_votes"), F.min("_pos").alias("_from"), F.max(F.col("_pos") + F.col("_k")).alias("_to"))
@@ -107,10 +118,12 @@ def _spans(rows: DataFrame, phrases, notices, slack: int) -> DataFrame:
         diagonals.withColumn("_apart", F.coalesce(apart, F.lit(0)))
         .withColumn("_group", F.sum("_apart").over(along))
         .groupBy("_key", "_template", "_group")
-        .agg(F.min("_from").alias("start"), F.max("_to").alias("end"), F.sum("_votes").alias("votes"))
+        .agg(
+            F.min("_from").alias("start"), F.max("_to").alias("end"), F.min("_diagonal").alias("low"), F.max("_diagonal").alias("high")
+        )
     )
     return merged.groupBy("_key").agg(
-        F.collect_list(F.struct(F.col("_template").alias("template"), "start", "end")).alias("_spans")
+        F.collect_list(F.struct(F.col("_template").alias("template"), "start", "end", "low", "high")).alias("_spans")
     )
 
 
@@ -124,6 +137,15 @@ def _kept_words(want: list[bytes], have: list[bytes]) -> int:
     return row[-1]
 
 
+def _apart(found: list[dict]) -> list[dict]:
+    """Of notices of one wording that overlap, the one that keeps most; by place."""
+    out: list[dict] = []
+    for f in sorted(found, key=lambda f: (-f["cover"], f["start"], f["end"])):
+        if all(f["end"] <= o["start"] or o["end"] <= f["start"] for o in out):
+            out.append(f)
+    return sorted(out, key=lambda f: f["start"])
+
+
 def license_scan(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -141,7 +163,7 @@ def license_scan(
     rows = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text")).withColumn(
         "_key", F.xxhash64("_id", "_text")
     )
-    spans = _spans(rows, phrases, notices, slack)
+    spans = _spans(rows, phrases, notices, slack, min_cover)
     kind = rows.schema["_id"].dataType.simpleString()
     found_type = "array<struct<label:string,phrase:boolean,start:long,end:long,cover:double>>"
 
@@ -160,7 +182,7 @@ def license_scan(
                         lo, n = first[i], first[i + 1] - first[i]
                         data = low.data
                         words = [data[s:e].tobytes() for s, e in zip(starts[lo : lo + n], ends[lo : lo + n])]
-                        places = set()
+                        places, kept = set(), {}
                         for span in listed:
                             t = span["template"]
                             want, label = wordings[t], labels[t]
@@ -170,9 +192,17 @@ def license_scan(
                                     if words[p : p + len(want)] == want:
                                         places.add((p, p + len(want), t))
                             else:
-                                cover = _kept_words(want, words[max(0, a - 2) : b + 2]) / len(want)
-                                if cover >= min_cover:
-                                    rows_out.append({"label": label, "phrase": False, "start": a, "end": b, "cover": min(cover, 1.0)})
+                                # the whole wording as the diagonals place it
+                                a, b = max(0, span["low"]), min(span["high"] + len(want), n)
+                                have = words[max(0, a - slack) : b + slack]
+                                # words out of order bound those in order
+                                if (Counter(want) & Counter(have)).total() < min_cover * len(want) - 1e-9:
+                                    continue
+                                cover = _kept_words(want, have) / len(want)
+                                if cover >= min_cover - 1e-9:
+                                    kept.setdefault(t, []).append({"label": label, "phrase": False, "start": a, "end": b, "cover": min(cover, 1.0)})
+                        for t in sorted(kept):
+                            rows_out += _apart(kept[t])
                         rows_out += [
                             {"label": labels[t], "phrase": True, "start": p, "end": e, "cover": 1.0} for p, e, t in sorted(places)
                         ]
