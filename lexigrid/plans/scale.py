@@ -151,6 +151,23 @@ def salted_join(
     return salted.join(copies, [*on, "_salt"], how).drop("_salt")
 
 
+def join_hot(many: DataFrame, one: DataFrame, key: str, share: int = 1024) -> DataFrame:
+    """Left join on one column with a table of unique keys, however unevenly ``many`` holds them.
+
+    Fewer than ``share`` keys can hold more than a ``share``-th of the rows each: their values are
+    broadcast, and their rows are dealt out evenly in the shuffle in which all other keys meet.
+    """
+    counts = many.groupBy(key).agg(F.count("*").alias("_n"))
+    total = counts.agg(F.sum("_n")).scalar()
+    hot = counts.filter(F.col("_n") * share > total).select(key)
+    values = [c for c in one.columns if c != key]
+    few = hot.join(one, key, "left").select(key, F.lit(True).alias("_hot"), *[F.col(c).alias(f"_hot_{c}") for c in values])
+    marked = many.join(F.broadcast(few), key, "left")
+    salted = marked.withColumn("_salt", F.when("_hot", 1 + _salt(many, [key], 65521)).otherwise(0))
+    found = salted.join(one.withColumn("_salt", F.lit(0)), [key, "_salt"], "left")
+    return found.select(*many.columns, *[F.coalesce(f"_hot_{c}", c).alias(c) for c in values])
+
+
 def _salt(df: DataFrame, keys: list[str], salts: int) -> Column:
     """A part number from the row's other plain values, so that a retry repeats it."""
     plain = [
