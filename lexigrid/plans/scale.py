@@ -163,7 +163,7 @@ def join_hot(many: DataFrame, one: DataFrame, key: str, share: int = 1024) -> Da
     values = [c for c in one.columns if c != key]
     few = hot.join(one, key, "left").select(key, F.lit(True).alias("_hot"), *[F.col(c).alias(f"_hot_{c}") for c in values])
     marked = many.join(F.broadcast(few), key, "left")
-    salted = marked.withColumn("_salt", F.when("_hot", 1 + _salt(many, [key], 65521)).otherwise(0))
+    salted = marked.withColumn("_salt", F.when(F.col("_hot"), 1 + _salt(many, [key], 65521)).otherwise(0))
     found = salted.join(one.withColumn("_salt", F.lit(0)), [key, "_salt"], "left")
     return found.select(*many.columns, *[F.coalesce(f"_hot_{c}", c).alias(c) for c in values])
 
