@@ -119,6 +119,40 @@ def k3(spark, sf_dir):
     return r.with_canonical(event_calls(spark, sf_dir)).select("call_id", "canonical")
 
 
+NESTED = """n AS (SELECT event_id AS call_id, user_id, json_extract_string(props, '$.k')::bigint AS k FROM events),
+parts AS (SELECT call_id, '"flags": [false, true]' AS flags, '"json": {"a": [' || array_to_string(list_transform(
+    list_sort(['x' || user_id, 'x' || k, 'é"']), lambda x: to_json(x)::varchar), ', ') || '], "b": ' || k ||
+    ', "pairs": [' || array_to_string(list_transform(list_sort([list_sort([2, k]), list_sort([1, user_id]), [k]]),
+      lambda x: '[' || array_to_string(x, ', ') || ']'), ', ') || '], "z": null}' AS nested, '"q": ["w' || k || '"]' AS q FROM n)"""
+
+
+def nested_calls(spark, sf_dir):
+    """Calls whose parameters hold objects and lists in lists; a key stands twice, with and without blanks."""
+    line = F.format_string(
+        '{"call_type": "View", "json": {"b" : %d, " a ": [" x%d", "x%d ", "\\u00e9\\""], "z": null,'
+        ' "pairs": [[2, %d], [1,%d],[%d] ]}, "flags": [true, false], "q": "other", " q ": [" w%d"]}',
+        "k", "user_id", "k", "k", "user_id", "k", "k",
+    )
+    return calls_of(events(spark, sf_dir).select(F.col("event_id").alias("call_id"), line.alias("value")))
+
+
+@query(
+    "k3_canonical_nested",
+    f"WITH {NESTED} SELECT call_id, '{{' || flags || ', ' || nested || ', ' || q || '}}' AS canonical FROM parts",
+)
+def k3_nested(spark, sf_dir):
+    return r.with_canonical(nested_calls(spark, sf_dir)).select("call_id", "canonical")
+
+
+@query(
+    "k4_call_key_nested",
+    f"""WITH {NESTED} SELECT call_id, md5('{{"asyn": "0", "call_type": "View", ' || flags || ', "format": "json", ' || nested ||
+        ', ' || q || '}}') AS key FROM parts""",
+)
+def k4_nested(spark, sf_dir):
+    return r.with_key(nested_calls(spark, sf_dir)).select("call_id", "key")
+
+
 KEYED = f"WITH {CALLS}, keyed AS (SELECT *, md5({canonical_sql(True, True)}) AS key FROM calls)"
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from lexigrid.functions.arrays import bind
-from lexigrid.functions.text import BLANKS
+from lexigrid.functions.nested import json_string, nested_json, strip
 from lexigrid.functions.udfs import blake2b_32
 
 PARAMS = "map<string,array<string>>"
@@ -13,25 +13,19 @@ PARAMS = "map<string,array<string>>"
 CREDENTIALS = ["api_key", "username"]
 
 
-def strip(text: Column) -> Column:
-    """Trim every kind of blank."""
-    return F.btrim(text, F.lit(BLANKS))
-
-
-def normalize_params(params: Column, sort_lists: bool = False) -> Column:
-    """Strip keys and values; of keys that become equal the last one counts.
+def normalized_entries(params: Column, kinds: Column | None = None, sort_lists: bool = False) -> Column:
+    """``key, value, kind`` of each parameter, keys and values stripped, nested values (kind
+    ``json``) all through; of keys that become equal the last one counts, with its kind.
 
     Lists keep their order, which is the order of execution; only the key sorts them.
     """
-    entries = F.transform(
-        F.map_entries(params),
-        lambda e: F.struct(
-            strip(e["key"]).alias("key"),
-            (
-                F.sort_array(F.transform(e["value"], strip)) if sort_lists else F.transform(e["value"], strip)
-            ).alias("value"),
-        ),
-    )
+
+    def entry(e: Column) -> Column:
+        kind = F.lit("") if kinds is None else F.coalesce(F.try_element_at(kinds, e["key"]), F.lit(""))
+        items = F.transform(e["value"], strip)
+        plain = F.sort_array(items) if sort_lists else items
+        value = plain if kinds is None else F.when(kind == "json", F.transform(e["value"], lambda v: nested_json(v, sort_lists))).otherwise(plain)
+        return F.struct(strip(e["key"]).alias("key"), value.alias("value"), kind.alias("kind"))
 
     def last_ones(es: Column) -> Column:
         def is_last(e: Column, i: Column) -> Column:
@@ -40,27 +34,21 @@ def normalize_params(params: Column, sort_lists: bool = False) -> Column:
 
         return F.filter(es, is_last)
 
-    return F.map_from_entries(bind(entries, last_ones))
+    return bind(F.transform(F.map_entries(params), entry), last_ones)
 
 
-def json_string(text: Column) -> Column:
-    """Quoted JSON string; characters beyond ASCII stay as they are."""
-    out = F.replace(F.replace(text, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"'))
-    short = {"\n": "\\n", "\r": "\\r", "\t": "\\t", "\b": "\\b", "\f": "\\f"}
-    escaped = out
-    for code in range(32):
-        char = chr(code)
-        escaped = F.replace(escaped, F.lit(char), F.lit(short.get(char, f"\\u{code:04x}")))
-    guarded = F.when(text.rlike(r"[\x00-\x1f]"), escaped).otherwise(out)
-    return F.concat(F.lit('"'), guarded, F.lit('"'))
+def normalize_params(params: Column, sort_lists: bool = False) -> Column:
+    """The parameters of :func:`normalized_entries`, none of them nested."""
+    entries = normalized_entries(params, None, sort_lists)
+    return F.map_from_entries(F.transform(entries, lambda e: F.struct(e["key"], e["value"])))
 
 
 def canonical_json(params: Column, kinds: Column | None = None) -> Column:
     """Ordered JSON of parameters with ``", "`` and ``": "``; lists sorted.
 
     A one-element array stands for a scalar, unless ``kinds`` (a map from key to kind) says
-    ``list``; ``numbers`` is a list whose items are written bare, in order of size, and ``null``
-    a parameter without a value.
+    ``list``; ``numbers`` is a list whose items are written bare, in order of size, ``null`` a
+    parameter without a value, and ``json`` one item of JSON text, which is sorted all through.
     """
 
     def value(e: Column) -> Column:
@@ -74,6 +62,7 @@ def canonical_json(params: Column, kinds: Column | None = None) -> Column:
         bare = F.concat(F.lit("["), F.array_join(F.transform(sized, lambda x: x["s"]), ", "), F.lit("]"))
         return (
             F.when(kind == "null", F.lit("null"))
+            .when(kind == "json", nested_json(F.get(e["value"], F.lit(0))))
             .when(kind == "numbers", bare)
             .when(scalar & (kind != "list"), F.get(items, F.lit(0)))
             .otherwise(as_list)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lexigrid.functions.request import call_key, canonical_json, key_text, normalize_params, step_kind
+from lexigrid.functions.request import call_key, canonical_json, key_text, normalize_params, normalized_entries, step_kind
 from lexigrid.functions.text import rule_kind
 from lexigrid.plans.scale import explode_kept, salted_join, top_per_group, with_once
 
@@ -79,7 +79,17 @@ def validate_calls(calls: DataFrame) -> DataFrame:
 
 
 def normalize_calls(calls: DataFrame, sort_lists: bool = False) -> DataFrame:
-    return calls.withColumn("params", normalize_params(F.col("params"), sort_lists))
+    """Strip parameters all through; a column ``kinds`` follows the keys that are kept."""
+    if "kinds" not in calls.columns:
+        return calls.withColumn("params", normalize_params(F.col("params"), sort_lists))
+    entries = with_once(calls, "_entries", normalized_entries(F.col("params"), F.col("kinds"), sort_lists))
+    told = F.filter("_entries", lambda e: e["kind"] != "")
+    return entries.withColumns(
+        {
+            "params": F.map_from_entries(F.transform("_entries", lambda e: F.struct(e["key"], e["value"]))),
+            "kinds": F.map_from_entries(F.transform(told, lambda e: F.struct(e["key"], e["kind"]))),
+        }
+    ).drop("_entries")
 
 
 def with_key(calls: DataFrame, algo: str = "md5", legacy: bool = False) -> DataFrame:
@@ -102,7 +112,7 @@ def with_canonical(calls: DataFrame) -> DataFrame:
 
 def split_cached(calls: DataFrame, responses: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Calls already answered, and calls still to run, by ``key``."""
-    keys = responses.select("key").distinct()
+    keys = responses.select("key")
     return calls.join(keys, "key", "left_semi"), calls.join(keys, "key", "left_anti")
 
 

@@ -28,41 +28,46 @@ def read_calls(spark: SparkSession, paths: list[str]) -> DataFrame:
 def calls_of(lines: DataFrame) -> DataFrame:
     """``call_id, value`` (one JSON object per line, blank lines skipped) to calls.
 
-    ``kinds`` keeps what the values were, where the arrays of ``params`` do not tell: ``list``,
-    ``numbers`` (a list of numbers) or ``null``.
+    ``kinds`` keeps what the values were, where the arrays of ``params`` do not tell: ``list`` (of
+    strings), ``numbers`` (a list of numbers), ``null``, or ``json`` (an object or any other list).
     """
     filled = lines.filter(F.col("value").rlike(r"\S"))
     raw = F.from_json("value", RAW, {"mode": "FAILFAST"})
-    # the second reading keeps numbers as they are written
+    # the second reading keeps numbers and nested values as they are written
     written = F.from_json("value", "map<string,string>")
     parsed = filled.select("call_id", raw.alias("raw"), written.alias("written"))
     own = F.map_filter("raw", lambda k, v: k != "call_type")
-    kinds = F.transform_values(own, lambda k, v: _kind(v))
-    return parsed.select(
+    kinds = F.transform_values(own, lambda k, v: _kind(v, F.try_element_at("written", k)))
+    return parsed.withColumn("kinds", kinds).select(
         "call_id",
         F.variant_get(F.try_element_at("raw", F.lit("call_type")), "$", "string").alias("call_type"),
-        F.transform_values(own, lambda k, v: _values(v, F.try_element_at("written", k))).alias("params"),
-        F.map_filter(kinds, lambda k, v: v != "").alias("kinds"),
+        F.transform_values(
+            own, lambda k, v: _values(v, F.try_element_at("kinds", k), F.try_element_at("written", k))
+        ).alias("params"),
+        F.map_filter("kinds", lambda k, v: v != "").alias("kinds"),
     )
 
 
-def _kind(v: Column) -> Column:
+def _kind(v: Column, written: Column) -> Column:
     kind = F.coalesce(F.schema_of_variant(v), F.lit("VOID"))
     numbers = kind.startswith("ARRAY<BIGINT") | kind.startswith("ARRAY<DECIMAL") | kind.startswith("ARRAY<DOUBLE")
+    # what a list of strings or numbers cannot hold: nulls, truth values, lists, objects, several kinds
+    filled = ~F.exists(F.from_json(written, "array<string>"), lambda x: x.isNull())
     return (
         F.when(v.isNull() | (kind == "VOID"), "null")
-        .when(numbers, "numbers")
-        .when(kind.startswith("ARRAY"), "list")
+        .when(numbers & filled, "numbers")
+        .when(((kind == "ARRAY<STRING>") & filled) | written.rlike(r"^\[\s*\]$"), "list")
+        .when(kind.startswith("ARRAY") | kind.startswith("OBJECT"), "json")
         .otherwise("")
     )
 
 
-def _values(v: Column, written: Column) -> Column:
-    """A list as it is, a scalar as a list of one (none if null); true and false as words."""
-    kind = F.coalesce(F.schema_of_variant(v), F.lit("VOID"))
-    word = F.when(kind == "BOOLEAN", F.initcap(written)).otherwise(written)
+def _values(v: Column, kind: Column, written: Column) -> Column:
+    """A list as it is, a scalar as a list of one (none if null), true and false as words; a nested
+    value is one item, its JSON text."""
+    word = F.when(F.schema_of_variant(v) == "BOOLEAN", F.initcap(written)).otherwise(written)
     return (
-        F.when(v.isNull() | (kind == "VOID"), F.array().cast("array<string>"))
-        .when(kind.startswith("ARRAY"), F.from_json(written, "array<string>"))
+        F.when(kind == "null", F.array().cast("array<string>"))
+        .when(kind.isin("list", "numbers"), F.from_json(written, "array<string>"))
         .otherwise(F.array(word))
     )
