@@ -418,6 +418,36 @@ def s5(spark, sf_dir):
     return new_responses(responses, store).select("key", "call_id")
 
 
+@query(
+    "s5_store_append_headers",
+    f"""{KEYED}, r AS (SELECT key, call_id % 4 AS turn, 'http://host/' || call_id % 3 AS url, '{{"n":' || call_id % 2 || '}}' AS text,
+          'etag' || call_id % 5 AS etag FROM keyed WHERE k % 4 <> 0),
+        stored AS (SELECT DISTINCT key FROM keyed WHERE user_id % 3 = 0),
+        ranked AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY text, url, etag) AS i FROM r
+          WHERE key NOT IN (SELECT key FROM stored))
+        SELECT key, text, url, etag, count(*) OVER () AS n FROM ranked WHERE i = 1""",
+)
+def s5_headers(spark, sf_dir):
+    """Scanned files, which carry headers, go into the store as they are."""
+    rows = events(spark, sf_dir).select(F.col("event_id").alias("call_id"), "user_id", "k")
+    calls = keyed_calls(spark, sf_dir).select("key", "call_id").join(rows, "call_id")
+    meta = F.struct(
+        F.concat(F.lit("http://host/"), F.col("call_id") % 3).alias("url"),
+        F.lit(200).alias("status"),
+        F.lit("OK").alias("reason"),
+        F.create_map(F.lit("ETag"), F.concat(F.lit("etag"), F.col("call_id") % 5), F.lit("Content-Type"), F.lit("application/json")).alias("headers"),
+        F.when(F.col("k") % 4 == 0, "bad query").otherwise("").alias("ske_error"),
+    )
+    # several responses to a key, each under a file name of its own
+    name = F.concat("key", F.lit("_"), F.col("call_id").cast("string"))
+    bodies = calls.select(F.concat(name, F.lit(".json")).alias("file_name"), F.format_string('{"n":%d}', F.col("call_id") % 2).alias("value"))
+    metas = calls.select(F.concat(name, F.lit(".meta.json")).alias("file_name"), F.to_json(meta).alias("value"))
+    scanned = responses_of(bodies.unionByName(metas)).withColumn("key", F.substring_index("key", "_", 1))
+    fresh = new_responses(scanned, calls.filter("user_id % 3 = 0").select("key"))
+    total = fresh.agg(F.count("*")).scalar()
+    return fresh.select("key", "text", "url", F.try_element_at("headers", F.lit("ETag")).alias("etag"), total.alias("n"))
+
+
 @query("s6_strip_bom", "SELECT doc_id, md5(text) AS text_md5 FROM documents")
 def s6(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents")

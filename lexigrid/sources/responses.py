@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import MapType
 
 from lexigrid.functions.text import strip_bom
 
@@ -40,23 +44,89 @@ def keepable(responses: DataFrame) -> DataFrame:
 
 
 def new_responses(responses: DataFrame, store: DataFrame) -> DataFrame:
-    """Keepable responses whose key is not stored yet, one per key."""
+    """Keepable responses whose key is not stored yet, one per key: the first by all other columns.
+
+    Maps, which have no order, are compared by their sorted entries.
+    """
     rest = [c for c in responses.columns if c != "key"]
+    kinds = dict(zip(responses.columns, responses.schema))
+    order = [
+        F.array_sort(F.map_entries(c)).alias(c) if isinstance(kinds[c].dataType, MapType) else F.col(c) for c in rest
+    ]
     unseen = keepable(responses).join(store.select("key"), "key", "left_anti")
-    return unseen.groupBy("key").agg(F.min(F.struct(*rest)).alias("r")).select("key", "r.*")
-
-
-def append_new(spark: SparkSession, responses: DataFrame, path: str) -> None:
-    """Append to the store at ``path``; it is made on first use."""
+    first = F.min_by(F.struct(*rest), F.struct(*order))
+    return unseen.groupBy("key").agg(first.alias("r")).select("key", "r.*")
+
+
+def open_store(spark: SparkSession, path: str, like: DataFrame | None = None, buckets: int = 256) -> DataFrame:
+    """The store at ``path``: a table in buckets by ``key``, sorted within each file.
+
+    ``like`` (rows with its columns) and the number of buckets are needed where there is no store
+    yet; the number is kept next to the data. A join on ``key`` needs no shuffle of the store, and
+    a filter on given keys reads only their buckets. Choose so many buckets that one of them, at
+    the size the store is to reach, is a task's work.
+    """
+    name = _store_table(path)
+    if not spark.catalog.tableExists(name):
+        kept = _kept_form(spark, path)
+        if kept is None:
+            if like is None:
+                raise ValueError(f"there is no store at {path}")
+            columns = ["key", *[c for c in like.columns if c != "key"]]
+            kept = [buckets, ", ".join(f"`{c}` {like.schema[c].dataType.simpleString()}" for c in columns)]
+            form = spark.createDataFrame([tuple(kept)], "buckets int, columns string")
+            form.coalesce(1).write.mode("errorifexists").json(f"{path}/{FORM}")
+        place = path.replace("'", "\\'")
+        spark.sql(
+            f"CREATE TABLE {name} ({kept[1]}) USING parquet CLUSTERED BY (key) SORTED BY (key) INTO {kept[0]} BUCKETS LOCATION '{place}'"
+        )
+    return spark.table(name)
+
+
+#: Spark's listings skip what begins with an underscore
+FORM = "_form"
+#: so many keys are looked up by value, more of them by a join
+LOOKED_UP = 1000
+
+
+def _store_table(path: str) -> str:
+    return f"store_{hashlib.md5(path.encode()).hexdigest()}"
+
+
+def _kept_form(spark: SparkSession, path: str) -> list | None:
     try:
-        store = spark.read.parquet(path)
-    except Exception as error:
-        if "PATH_NOT_FOUND" not in str(error):
+        row = spark.read.schema("buckets int, columns string").json(f"{path}/{FORM}").first()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        nothing = spark.createDataFrame([], responses.select("key").schema)
-        new_responses(responses, nothing).write.parquet(path)
-        return
-    new_responses(responses, store).select(store.columns).write.mode("append").parquet(path)
+        return None
+    return list(row)
+
+
+def stored(store: DataFrame, keys: DataFrame) -> DataFrame:
+    """Rows of a store for a table of keys, each row once.
+
+    A few keys (1,000 at most) become a filter, which reads only their buckets and row groups; more
+    of them meet the store bucket by bucket.
+    """
+    few = keys.select("key").filter("key IS NOT NULL").distinct().limit(LOOKED_UP + 1).collect()
+    if len(few) <= LOOKED_UP:
+        return store.filter(F.col("key").isin([row["key"] for row in few]))
+    return store.join(keys.select("key"), "key", "left_semi")
+
+
+def append_new(spark: SparkSession, responses: DataFrame, path: str, buckets: int = 256) -> None:
+    """Append to the store at ``path``; it is made on first use.
+
+    Each call adds one file to each bucket that it has new keys for.
+    """
+    store = open_store(spark, path, responses, buckets)
+    kept = _kept_form(spark, path)
+    seen = stored(store.select("key"), responses)
+    fresh = new_responses(responses, seen).select(store.columns)
+    # the same hash as that of the buckets, so that every bucket is written by one task
+    fresh.repartition(kept[0], "key").write.insertInto(_store_table(path))
+    spark.catalog.refreshTable(_store_table(path))
 
 
 def write_result(df: DataFrame, path: str, fmt: str) -> None:
