@@ -14,6 +14,7 @@ from lexigrid.operators.positions import (
     structure_rows,
     token_rows,
     with_refs,
+    with_structures,
     with_toknum,
 )
 from lexigrid.plans.scale import explode_kept
@@ -103,9 +104,7 @@ def p3(spark, sf_dir):
     return annotate(positions(corpus), lexicon(corpus)).select("doc_id", "pos", "lc", "lemma", "tag")
 
 
-@query(
-    "p4_structures",
-    f"""{BASE}, lines AS (
+STRUCTURES = f"""{BASE}, lines AS (
   SELECT doc_id, unnest(l) AS line, generate_subscripts(l, 1) AS ln
   FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents)),
 pars AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY ln) - 1 AS par_id,
@@ -117,8 +116,10 @@ marked AS (SELECT *, CASE WHEN w IN ('.', '!', '?') AND coalesce(lead(w) OVER p,
 SELECT doc_id, par_id,
   (coalesce(sum(closes) OVER (PARTITION BY doc_id ORDER BY par_id, i
      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::bigint AS sent_id,
-  row_number() OVER (PARTITION BY doc_id ORDER BY par_id, i) - 1 AS pos, w FROM marked""".replace("\\\\S", "\\S"),
-)
+  row_number() OVER (PARTITION BY doc_id ORDER BY par_id, i) - 1 AS pos, w FROM marked"""
+
+
+@query("p4_structures", STRUCTURES)
 def p4(spark, sf_dir):
     return structure_rows(load_corpus(spark, sf_dir)).select(
         "doc_id", "par_id", "sent_id", F.col("pos").cast("bigint").alias("pos"), "w"
@@ -251,6 +252,42 @@ def c7(spark, sf_dir):
     return hits.select("doc_id", "source", "pos")
 
 
+def within_query(name, struct, column):
+    """Hits of two words a few tokens apart that do not leave a structure."""
+
+    @query(
+        name,
+        f"""WITH t AS ({STRUCTURES}) SELECT a.doc_id, a.pos, min(b.pos) + 1 AS "end" FROM t a JOIN t b
+            ON a.doc_id = b.doc_id AND b.pos BETWEEN a.pos + 1 AND a.pos + 9 WHERE a.w = 'the' AND b.w = 'of'
+            GROUP BY a.doc_id, a.pos, a.{column} HAVING arg_min(b.{column}, b.pos) = a.{column}""",
+    )
+    def run(spark, sf_dir):
+        corpus = with_structures(containing(load_corpus(spark, sf_dir), "the", "of"))
+        hits = m.match(corpus, [m.term("the"), m.after_gap(m.term("of"), 8)])
+        return m.hit_rows(m.within_spans(hits, struct)).select("doc_id", "pos", "end")
+
+    return run
+
+
+within_query("c7_within_sentence", "sent", "sent_id")
+within_query("c7_within_paragraph", "par", "par_id")
+
+
+@query(
+    "c7_within_hits",
+    f"""{BASE} SELECT b.doc_id, b.pos FROM tok b WHERE b.w = 'of' AND NOT EXISTS (SELECT 1 FROM tok a JOIN tok c
+          ON a.doc_id = c.doc_id AND c.pos BETWEEN a.pos + 1 AND a.pos + 12 WHERE a.doc_id = b.doc_id AND a.w = 'the' AND c.w = 'and'
+          AND a.pos <= b.pos AND b.pos < (SELECT min(d.pos) + 1 FROM tok d WHERE d.doc_id = a.doc_id AND d.w = 'and'
+            AND d.pos BETWEEN a.pos + 1 AND a.pos + 12))""",
+)
+def c7_hits(spark, sf_dir):
+    """A word outside the hits of another pattern."""
+    corpus = with_tokens(containing(load_corpus(spark, sf_dir), "of"))
+    spans = m.match(corpus, [m.term("the"), m.after_gap(m.term("and"), 11)], hits="spans")
+    hits = m.within_spans(m.match(spans, [m.term("of")]), "spans", negate=True)
+    return m.hit_rows(hits).select("doc_id", "pos")
+
+
 @query(
     "c7_within_documents",
     f"""{BASE}, {HITS} SELECT doc_id, pos FROM hits

@@ -37,6 +37,17 @@ def prefix_starts(sizes: Column, block: int = 128) -> Column:
     return bind(sizes, with_blocks)
 
 
+def running_max(values: Column) -> Column:
+    """Largest element up to each place, nulls passed over; steps of 1, 2, 4, … places, so a long
+    array costs its length times the logarithm of it."""
+    doublings = F.transform(F.sequence(F.lit(0), F.ceil(F.log2(F.size(values) + 1)).cast("int")), lambda i: F.pow(2, i).cast("int"))
+
+    def step(so_far: Column, by: Column) -> Column:
+        return F.transform(so_far, lambda x, i: F.greatest(x, F.get(so_far, i - by)))
+
+    return F.aggregate(doublings, values, step)
+
+
 def struct_of_arrays(col: Column, dtype: T.DataType) -> Column:
     """Turn an array of structs into a struct of arrays, at every depth.
 

@@ -11,6 +11,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from lexigrid.functions.arrays import bind, running_max
 from lexigrid.functions.text import term_predicate, tokenize_lower
 from lexigrid.operators.positions import located
 from lexigrid.plans.scale import explode_kept
@@ -156,6 +157,40 @@ def within(corpus: DataFrame, attribute: str, value: str) -> DataFrame:
     return corpus.filter(F.col(attribute) == F.lit(value))
 
 
+def inside(hits: Column, spans: Column) -> Column:
+    """For each hit whether some span holds it from end to end, in order of the sorted hits.
+
+    Both are arrays of ``struct<pos, end>``, in any order; spans may overlap. They are merged by
+    position: of the spans that begin at a hit or before it, the one that reaches farthest decides.
+    """
+
+    def event(x: Column, kind: int) -> Column:
+        return F.struct(x["pos"].cast("int").alias("pos"), F.lit(kind).alias("kind"), x["end"].cast("int").alias("end"))
+
+    def decided(events: Column) -> Column:
+        reach = running_max(F.transform(events, lambda e: F.when(e["kind"] == 0, e["end"])))
+        judged = F.zip_with(
+            events,
+            reach,
+            lambda e, r: F.struct(e["kind"].alias("kind"), e["pos"].alias("pos"), e["end"].alias("end"), F.coalesce(r >= e["end"], F.lit(False)).alias("ok")),
+        )
+        return F.filter(judged, lambda e: e["kind"] == 1)
+
+    merged = F.concat(F.transform(spans, lambda s: event(s, 0)), F.transform(hits, lambda h: event(h, 1)))
+    return bind(F.array_sort(merged), decided)
+
+
+def within_spans(matched: DataFrame, spans: Column | str, negate: bool = False) -> DataFrame:
+    """Hits that lie in one of the document's spans (with ``negate``: in none), in order.
+
+    ``spans`` are those of :func:`lexigrid.operators.positions.with_structures`, or the hits of
+    another match on the same row. No span, or null, holds nothing.
+    """
+    spans = F.coalesce(F.col(spans) if isinstance(spans, str) else spans, F.array().cast("array<struct<pos:int,end:int>>"))
+    kept = F.filter(inside("hits", spans), lambda e: e["ok"] != F.lit(negate))
+    return matched.withColumn("hits", F.transform(kept, lambda e: _span(e["pos"], e["end"])))
+
+
 def within_documents(hits: DataFrame, documents: DataFrame) -> DataFrame:
     """Restrict hits to a table of documents."""
     return hits.join(documents.select("doc_id").distinct(), "doc_id", "left_semi")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lexigrid.functions.arrays import prefix_starts
+from lexigrid.functions.arrays import bind, prefix_starts
 from lexigrid.functions.text import (
     count_tokens,
     split_paragraphs,
@@ -16,6 +16,7 @@ from lexigrid.plans.scale import (
     posexplode_kept,
     running_offsets,
     salted_join,
+    with_once,
 )
 
 
@@ -136,6 +137,24 @@ def with_sentences(corpus: DataFrame) -> DataFrame:
     return corpus.withColumn("sents", numbered).drop("_pieces")
 
 
+def with_structures(corpus: DataFrame) -> DataFrame:
+    """Documents with ``toks`` and the spans ``struct<pos, end>`` of their sentences (``sent``) and
+    paragraphs (``par``), tokenized once."""
+
+    def span(pos: Column, end: Column) -> Column:
+        return F.struct(pos.cast("int").alias("pos"), end.cast("int").alias("end"))
+
+    sents = with_once(with_sentences(corpus), "_sents", F.col("sents")).drop("sents")
+    first = F.filter("_sents", lambda s, i: (i == 0) | (F.get("_sents", i - 1)["par"] != s["par"]))
+    starts = F.transform(first, lambda s: s["pos"])
+    length = F.size("toks")
+    whole = sents.withColumn("toks", F.flatten(F.transform("_sents", lambda s: s["toks"])))
+    pars = bind(starts, lambda at: F.transform(at, lambda p, i: span(p, F.coalesce(F.get(at, i + 1), length))))
+    return whole.withColumns(
+        {"sent": F.transform("_sents", lambda s: span(s["pos"], s["pos"] + F.size(s["toks"]))), "par": pars}
+    ).drop("_sents")
+
+
 def structure_rows(corpus: DataFrame) -> DataFrame:
     """One row per token with its paragraph and sentence number."""
     sents = explode_kept(with_sentences(corpus), F.col("sents"), "s", "doc_id")
