@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from lexigrid.operators.match import ATTRIBUTES
 from lexigrid.operators.positions import reference_array, with_sentences
-from lexigrid.plans.scale import explode_kept, running_offsets, smallest, top_per_group, with_once
+from lexigrid.plans.scale import explode_kept, materialized, running_offsets, smallest, top_per_group, with_once
 
 SEGMENT = "struct<str:string,class:string>"
 
@@ -21,8 +21,10 @@ def concsize(matched: DataFrame) -> DataFrame:
 def numbered_hits(matched: DataFrame, *keep: str) -> DataFrame:
     """Hit rows with ``hit``, their 0-based number in corpus order.
 
-    The numbers come from per-document hit counts, never from a sort of the hits.
+    The numbers come from per-document hit counts, never from a sort of the hits. The corpus is
+    matched once; hits and kept columns are stored.
     """
+    matched = materialized(matched.select("doc_id", "hits", *keep).filter(F.size("hits") > 0))
     rows = _indexed_hits(matched, *keep).join(_first_hits(matched), "doc_id")
     return _numbered(rows, *keep)
 

@@ -35,50 +35,29 @@ def posexplode_kept(
 
 
 def running_offsets(
-    rows: DataFrame, key: str, size: str | dict[str, str], out: str = "offset", buckets: int | None = None
+    rows: DataFrame, key: str, size: str | dict[str, str], out: str = "offset", parts: int | None = None
 ) -> DataFrame:
-    """``key``, sizes, and for each size its sum over all smaller keys, for unique numeric keys.
+    """``key``, sizes, and for each size its sum over all smaller keys, for unique keys.
 
     ``size`` is one column (its sum is called ``out``), or a map from columns to the names of
-    their sums. Keys are cut into buckets at approximate quantiles, so that each window holds an
-    equal share of the keys however they are spread. There are four buckets for each shuffle
-    partition of the session, if ``buckets`` is not given. What is passed between the levels is
-    one number per bucket and size. Only keys and sizes are moved: join what else is needed on.
+    their sums. The numbers are computed once and kept; they are dealt out by ranges of the key, each
+    range adds up its own, and what came before it is joined on by the number of the range: one row
+    for each of the ``parts`` (the session's shuffle partitions). Only keys and sizes are moved: join
+    what else is needed on.
     """
     sizes = {size: out} if isinstance(size, str) else size
-    if buckets is None:
-        buckets = max(64, 4 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    cuts = rows.select(
-        F.approx_percentile(
-            key, F.array(*[F.lit(i / buckets) for i in range(1, buckets)]), 20 * buckets
-        ).alias("cuts")
-    ).scalar()
-    bucketed = (
-        rows.select(key, *sizes)
-        .withColumn("_cuts", F.array_distinct(cuts))
-        .withColumn("_bucket", F.size(F.filter("_cuts", lambda c: c < F.col(key))))
-        .drop("_cuts")
-        .repartition("_bucket")
-    )
-    # counting the key keeps the shuffle equal to the main one, so it is reused
-    totals = (
-        bucketed.groupBy("_bucket")
-        .agg(F.count(key).alias("_used"), *[F.sum(s).alias(s) for s in sizes])
-        .agg(F.collect_list(F.struct("_bucket", "_used", *sizes)))
-        .scalar()
-    )
-    before = Window.partitionBy("_bucket").orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
-
-    def earlier(size: str) -> Column:
-        return F.aggregate(
-            F.filter("_totals", lambda t: t["_bucket"] < F.col("_bucket")),
-            F.lit(0).cast("bigint"),
-            lambda acc, t: acc + t[size],
-        )
-
-    inside = bucketed.withColumns({f"_{s}": F.coalesce(F.sum(s).over(before), F.lit(0)) for s in sizes})
-    placed = inside.withColumn("_totals", totals)
-    return placed.select(key, *sizes, *[(F.col(f"_{s}") + earlier(s)).alias(name) for s, name in sizes.items()])
+    parts = parts or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # kept first, since cutting the ranges reads the keys once more
+    numbers = materialized(rows.select(key, *sizes))
+    # and kept in ranges, so that all that follows sees the same ones
+    ranged = materialized(numbers.repartitionByRange(parts, key).withColumn("_part", F.spark_partition_id()))
+    totals = ranged.groupBy("_part").agg(*[F.sum(s).alias(s) for s in sizes])
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = totals.select("_part", *[F.coalesce(F.sum(s).over(earlier), F.lit(0)).alias(f"_{s}") for s in sizes])
+    before = Window.partitionBy("_part").orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
+    inside = ranged.withColumns({name: F.coalesce(F.sum(s).over(before), F.lit(0)) for s, name in sizes.items()})
+    placed = inside.join(F.broadcast(starts), "_part")
+    return placed.select(key, *sizes, *[(F.col(name) + F.col(f"_{s}")).alias(name) for s, name in sizes.items()])
 
 
 def materialized(df: DataFrame) -> DataFrame:
@@ -124,7 +103,7 @@ def smallest(df: DataFrame, draw: str, order: list[str], n: int) -> DataFrame:
     digits = F.conv(F.substring(draw, 1, 4), 16, 10).cast("bigint")
     bucketed = df.withColumn("_digits", digits)
     counts = bucketed.groupBy("_digits").agg(F.count("*").alias("_n"))
-    sums = running_offsets(counts, "_digits", "_n", out="_start", buckets=64).filter(F.col("_start") < n)
+    sums = running_offsets(counts, "_digits", "_n", out="_start", parts=8).filter(F.col("_start") < n)
     # at most 16 ** 4 rows
     placed = bucketed.join(F.broadcast(sums), "_digits")
     inside = placed.filter(F.col("_start") + F.col("_n") <= n)

@@ -258,7 +258,7 @@ def test_running_offsets(spark):
     # most keys crowd together, some lie far away
     keys = rng.sample(range(2000), 1500) + [10**15 + i * 10**9 for i in range(50)] + [-5]
     rows = [(k, rng.randrange(5)) for k in keys]
-    got = {x.k: x.offset for x in running_offsets(spark.createDataFrame(rows, "k bigint, n bigint"), "k", "n", buckets=16).collect()}
+    got = {x.k: x.offset for x in running_offsets(spark.createDataFrame(rows, "k bigint, n bigint"), "k", "n", parts=16).collect()}
     total = 0
     for k, n in sorted(rows):
         assert got[k] == total

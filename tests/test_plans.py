@@ -41,7 +41,7 @@ def test_no_token_array_is_moved(spark, name):
         children = node.children()
         inner = [children.apply(i) for i in range(children.size())]
         if "AdaptiveSparkPlan" in node.nodeName():
-            inner = [node.inputPlan()]
+            inner = [node.initialPlan()]
         for child in inner:
             yield from exchanges(child)
 
