@@ -74,6 +74,31 @@ def materialized(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+BITMAP_WORDS = 1 << 14
+
+
+def bitmap(keys: DataFrame, column: str, words: int = BITMAP_WORDS) -> Column:
+    """The hashes of a column as bits of an array of fixed size, a scalar subquery.
+
+    Rows are tested with :func:`may_hold` before they are moved. However many keys there are, it
+    has ``words`` numbers; with very many it lets more rows pass, but never drops one of a key.
+    """
+    bit = F.pmod(F.xxhash64(column), F.lit(64 * words))
+    set_bits = keys.filter(F.col(column).isNotNull()).select(
+        F.shiftright(bit, 6).alias("w"), F.call_function("shiftleft", F.lit(1).cast("bigint"), (bit % 64).cast("int")).alias("m")
+    )
+    empty = keys.sparkSession.range(words).select(F.col("id").alias("w"), F.lit(0).cast("bigint").alias("m"))
+    joined = set_bits.unionByName(empty).groupBy("w").agg(F.bit_or("m").alias("m"))
+    return joined.agg(F.transform(F.array_sort(F.collect_list(F.struct("w", "m"))), lambda x: x["m"])).scalar()
+
+
+def may_hold(bits: Column, key: Column, words: int = BITMAP_WORDS) -> Column:
+    """False only if the key is not one of those that the bitmap was made of."""
+    bit = F.pmod(F.xxhash64(key), F.lit(64 * words))
+    word = F.get(bits, F.shiftright(bit, 6).cast("int"))
+    return F.call_function("shiftright", word, (bit % 64).cast("int")).bitwiseAND(F.lit(1)) == 1
+
+
 def top_per_group(
     df: DataFrame, by: list[str], order: list[Column], n: int, rank: str = "rank", salts: int = 64
 ) -> DataFrame:
