@@ -11,7 +11,8 @@ Negative components count through complements of the slices; constants are added
 
 Defined cases: vectors that are null, or hold a null or non-finite component, and rows with a null
 id take no part; shorter vectors count as filled up with zeros; a query never meets rows of its own
-id; repeated ids are candidates each; fewer candidates than ``k`` give fewer rows; an empty table
+id; repeated ids are candidates each; a query row that is repeated with the same vector is answered
+once, one repeated with another vector has its own answer, ranked by itself; fewer candidates than ``k`` give fewer rows; an empty table
 gives no rows. Scores must fit into 64 bits.
 """
 
@@ -155,6 +156,7 @@ def top_scores(
             {
                 "_group": pa.array([table.column("_group")[0].as_py()], pa.int32()),
                 "_asked": pa.array([np.asarray(table.column("_id"), np.int64).tobytes()], pa.binary()),
+                "_rows": pa.array([np.asarray(table.column("_row"), np.int64).tobytes()], pa.binary()),
                 "_weights": pa.array([_vectors(table, size).tobytes()], pa.binary()),
             }
         )
@@ -165,8 +167,9 @@ def top_scores(
     blocks = rows.withColumn("_block", dealt("_id", n_blocks)).groupBy("_block").applyInArrow(
         index, "_block int, _ids binary, _least binary, _maps binary"
     )
-    groups = asked.withColumn("_group", dealt("_id", n_groups)).groupBy("_group").applyInArrow(
-        pack, "_group int, _asked binary, _weights binary"
+    own_row = asked.dropDuplicates(["_id", "_v"]).withColumn("_row", F.xxhash64("_id", "_v"))
+    groups = own_row.withColumn("_group", dealt("_row", n_groups)).groupBy("_group").applyInArrow(
+        pack, "_group int, _asked binary, _rows binary, _weights binary"
     )
     met = groups.withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)))).join(blocks, "_block")
 
@@ -180,9 +183,9 @@ def top_scores(
                 full = (1 << maps.shape[1]) - 1
                 every = np.zeros(words * 64, bool)
                 every[: len(ids)] = True
-                out = [[], [], []]
+                out = [[], [], [], []]
                 weights = np.frombuffer(row["_weights"], np.int64).reshape(-1, size)
-                for own, w in zip(np.frombuffer(row["_asked"], np.int64), weights):
+                for own, number, w in zip(np.frombuffer(row["_asked"], np.int64), np.frombuffer(row["_rows"], np.int64), weights):
                     lo, hi = np.searchsorted(ids, [own, own + 1])
                     every[lo:hi] = False
                     allowed = np.packbits(every, bitorder="little").view(np.uint64)
@@ -195,12 +198,14 @@ def top_scores(
                     # complements were taken from the full range, and every row from the smallest value
                     score += int((w * least).sum()) + int((w[w < 0]).sum()) * full
                     out[0].append(np.full(len(best), own))
-                    out[1].append(ids[best])
-                    out[2].append(score)
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), pa.int64()) for x in out], ["query_id", "_id", "score"])
-
-    found = met.repartition(F.col("_group"), F.col("_block")).mapInArrow(search, "query_id long, _id long, score long")
-    best = top_per_group(found, ["query_id"], [F.desc("score"), F.col("_id")], k)
+                    out[1].append(np.full(len(best), number))
+                    out[2].append(ids[best])
+                    out[3].append(score)
+                names = ["query_id", "_row", "_id", "score"]
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), pa.int64()) for x in out], names)
+
+    found = met.repartition(F.col("_group"), F.col("_block")).mapInArrow(search, "query_id long, _row long, _id long, score long")
+    best = top_per_group(found, ["query_id", "_row"], [F.desc("score"), F.col("_id")], k)
     return best.select("query_id", F.col("rank").cast("int").alias("rank"), F.col("_id").alias(id_col), "score")
 
 

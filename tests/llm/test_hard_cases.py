@@ -198,6 +198,26 @@ def test_top_scores(spark):
     assert topk.top_scores(df.limit(0), df.limit(0), 20).count() == 0
 
 
+def test_repeated_queries_are_answered_once(spark):
+    rows = [(i, [((i * j) % 7 - 3) / 8.0 for j in range(4)]) for i in range(60)]
+    rows += [rows[0], rows[0], (20, [9.0, 0.0, 0.0, 0.0])]
+    clash = spark.createDataFrame([(*r, 1, "x") for r in rows], "vec_id long, embedding array<double>, score int, _id string")
+    ints = [(i, tuple(int(np.floor(64 * x)) for x in v)) for i, v in rows]
+    want = []
+    for q, a in {(i, v) for i, v in ints if i % 20 == 0}:
+        scores = sorted((-sum(x * y for x, y in zip(a, b)), i) for i, b in ints if i != q)[:5]
+        want += [(q, r, i, -s) for r, (s, i) in enumerate(scores, 1)]
+    got = topk.top_scores(clash, clash.filter("vec_id % 20 = 0"), 5)
+    assert sorted(tuple(r) for r in got.select("query_id", "rank", "vec_id", "score").collect()) == sorted(want)
+    assert len(want) == 5 * 4
+
+
+def test_jaccard_refuses_a_recall_that_it_cannot_reach(spark):
+    assert jaccard.runs_for(0.8, 0.999999) < jaccard.COORDINATES
+    with pytest.raises(ValueError):
+        jaccard.runs_for(0.3, 0.999999)
+
+
 def test_toxicity_without_labels(spark):
     docs = spark.createDataFrame([(1, "x"), (2, None)], "doc_id long, text string")
     none = spark.createDataFrame([], "doc_id long, toxic int")
