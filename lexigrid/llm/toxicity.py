@@ -211,7 +211,7 @@ class Toxicity:
 
 def train(
     docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label: str,
-    per_level: int, lexicon_size: int, least: int, folds: int,
+    per_level: int, least: int, folds: int,
 ) -> Toxicity:
     usable = labels.filter(F.crc32(F.col(id_col).cast("string")) % folds != 0)
     usable = usable.withColumn(label, (F.col(label) > 0).cast("int"))
@@ -254,7 +254,7 @@ def train(
     kept = [apart(p) for p in range(-1, PARTS)]
     table = counts.select("word", *[c.alias(f"{name}{i}") for i, pair in enumerate(kept) for name, c in zip(("odds", "z"), pair)])
     table = table.withColumn("_z", F.greatest(*[f"z{i}" for i in range(len(kept))])).filter("_z > 0")
-    table = table.orderBy(F.desc("_z"), "word").limit(lexicon_size).toPandas()
+    table = table.orderBy(F.desc("_z"), "word").toPandas()  # of a bounded sample
     lexicons = []
     for i in range(len(kept)):
         own = table[table[f"z{i}"] > 0]
@@ -290,16 +290,14 @@ def toxicity(
     text_col: str = "text",
     label: str = "toxic",
     per_level: int = 6000,
-    lexicon_size: int = 100_000,
     least: int = 5,
     folds: int = 5,
 ) -> DataFrame:
     """One row per document: id, ``held_out``, ``score``, ``predicted``.
 
-    ``per_level`` bounds the labelled rows of each class that are learned from, ``lexicon_size``
-    the learned lexicon of words and starts of words. Rows whose crc32 of the id is divisible by ``folds`` are held out.
+    ``per_level`` bounds the labelled rows of each class that are learned from. Rows whose crc32 of the id is divisible by ``folds`` are held out.
     """
-    model = train(docs, labels, id_col, text_col, label, per_level, lexicon_size, least, folds)
+    model = train(docs, labels, id_col, text_col, label, per_level, least, folds)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kind = docs.schema[id_col].dataType.simpleString()
 
