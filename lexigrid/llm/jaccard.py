@@ -65,7 +65,10 @@ def runs_for(threshold: float, recall: float) -> int:
     q = 1.0
     for _ in range(200):
         q = 1 - (1 - threshold * q) ** BRANCHES
-    return min(COORDINATES, math.ceil(math.log(1 - recall) / math.log(1 - threshold * q)))
+    runs = math.ceil(math.log(1 - recall) / math.log(1 - threshold * q))
+    if runs > COORDINATES:
+        raise ValueError(f"recall {recall} at similarity {threshold} takes {runs} runs, and a set has {COORDINATES} coordinates")
+    return runs
 
 
 def _signed(rows: DataFrame, size: int, runs: int) -> DataFrame:
