@@ -181,3 +181,39 @@ def a5_lemma(spark, sf_dir):
 @query("a6_thes_lemma", on_lemmas(THES))
 def a6_lemma(spark, sf_dir):
     return a.thesaurus(lemmas(spark, sf_dir), "with", min_freq=3)
+
+
+def path_sql(name, after, through, tag, most):
+    """Pairs of a word and what a way over tags leads to from it: positions ``p`` and ``q``."""
+    sign = "+" if after else "-"
+    between = f"x.pos > {'a' if after else 'b'}.pos AND x.pos < {'b' if after else 'a'}.pos"
+    return f"""SELECT '{name}' AS relation, a.w AS w1, b.w AS collocate FROM tok a JOIN tok b ON a.doc_id = b.doc_id
+      AND b.pos {sign}0 BETWEEN a.pos {sign} {1 if after else most + 1} AND a.pos {sign} {most + 1 if after else 1}
+      WHERE regexp_matches(b.tag, '{tag}') AND NOT EXISTS (SELECT 1 FROM tok x WHERE x.doc_id = a.doc_id AND {between}
+        AND (NOT regexp_matches(x.tag, '{through}') OR regexp_matches(x.tag, '{tag}')))"""
+
+
+PATHS = {
+    "noun_after": a.TagPath("^NN1$", "^NN[02]$", 2),
+    "any_noun_before": a.TagPath("^NN", "^$", 1, left=True),
+    "next": 1,
+}
+PATHS_SQL = " UNION ALL ".join(
+    [
+        path_sql("noun_after", True, "^NN[02]$", "^NN1$", 2),
+        path_sql("any_noun_before", False, "^$", "^NN", 1),
+        "SELECT 'next', a.w, b.w FROM tok a JOIN tok b ON a.doc_id = b.doc_id AND b.pos = a.pos + 1",
+    ]
+)
+
+
+@query(
+    "a4_wsketch_sequence",
+    f"""{LEMMAS}, pairs AS ({PATHS_SQL}), slots AS (SELECT relation, collocate, count(*) AS f_slot FROM pairs GROUP BY 1, 2),
+        k AS (SELECT relation, collocate, count(*) AS f FROM pairs WHERE w1 = 'with' GROUP BY 1, 2),
+        s AS (SELECT relation, collocate, f, (sum(f) OVER (PARTITION BY relation))::bigint AS f_rel, f_slot,
+          14 + log2(2.0 * f / (sum(f) OVER (PARTITION BY relation) + f_slot)) AS logdice FROM k JOIN slots USING (relation, collocate))
+        SELECT relation, collocate, f, f_rel, f_slot, round(logdice, 6) AS logdice FROM s WHERE f >= 2""",
+)
+def a4_sequence(spark, sf_dir):
+    return a.word_sketch(lemmas(spark, sf_dir), "with", PATHS, min_freq=2)

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, functions as F
 
+from lexigrid.functions.arrays import bind
 from lexigrid.functions.measures import (
     log_dice,
     log_likelihood,
@@ -16,8 +19,27 @@ from lexigrid.operators.match import match, term
 from lexigrid.operators.positions import token_rows
 from lexigrid.plans.scale import explode_kept, materialized, posexplode_kept, salted_join
 
-#: an offset, or an offset and a pattern of tags
-Relation = int | tuple[int, str]
+
+@dataclass(frozen=True)
+class TagPath:
+    """A way over tags from a word to its collocate, of no fixed length.
+
+    It ends at the first token to the right (``left``: to the left) whose tag matches ``tag``, and
+    passes at most ``most`` tokens before it, whose tags must all match ``through``.
+    """
+
+    tag: str
+    through: str = ""
+    most: int = 3
+    left: bool = False
+
+    @property
+    def sign(self) -> int:
+        return -1 if self.left else 1
+
+
+#: an offset, an offset and a pattern of tags, or a way over tags
+Relation = int | tuple[int, str] | TagPath
 RELATIONS: dict[str, Relation] = {"left1": -1, "right1": 1}
 
 
@@ -103,11 +125,15 @@ def _slot(relation: Relation) -> tuple[int, str | None]:
 
 def _slot_totals(corpus: DataFrame, relations: dict[str, Relation]) -> DataFrame:
     """f(., relation, word): how often each word fills each slot of any token."""
-    tagged = any(_slot(r)[1] for r in relations.values())
+    paths = {name: r for name, r in relations.items() if isinstance(r, TagPath)}
+    tagged = paths or any(_slot(r)[1] for r in relations.values())
     sized = corpus.withColumn("n", F.size("toks"))
     if tagged:
-        cells = F.arrays_zip("toks", "tag").cast("array<struct<w:string,tag:string>>")
-        rows = posexplode_kept(sized, cells, "c", "n").select("n", "pos", "c.w", "c.tag")
+        heads = {f"_heads{i}": _heads(r) for i, r in enumerate(paths.values())}
+        sized = sized.withColumns(heads)
+        fields = ["w:string", "tag:string", *[f"{h}:int" for h in heads]]
+        cells = F.arrays_zip("toks", "tag", *heads).cast(f"array<struct<{','.join(fields)}>>")
+        rows = posexplode_kept(sized, cells, "c", "n").select("n", "pos", "c.*")
     else:
         rows = token_rows(sized, "n")
 
@@ -117,7 +143,10 @@ def _slot_totals(corpus: DataFrame, relations: dict[str, Relation]) -> DataFrame
         inside = (start >= 0) & (start < F.col("n"))
         return inside if tag is None else inside & F.rlike("tag", F.lit(tag))
 
-    filled = [F.count(F.when(fills(r), 1)).alias(name) for name, r in relations.items()]
+    filled = [
+        (F.sum(f"_heads{list(paths).index(name)}").cast("bigint") if name in paths else F.count(F.when(fills(r), 1))).alias(name)
+        for name, r in relations.items()
+    ]
     counted = rows.groupBy(F.col("w").alias("collocate")).agg(*filled)
     pairs = F.array(
         *[F.struct(F.lit(r).alias("relation"), F.col(r).alias("f_slot")) for r in relations]
@@ -154,7 +183,7 @@ def _neighbours(hits: Column, lemma: str, relations: dict[str, Relation]) -> Col
                 F.struct(
                     F.lit(lemma).alias("w1"),
                     F.lit(name).alias("relation"),
-                    _neighbour(hit, *_slot(r)).alias("collocate"),
+                    (_path_end(hit, r) if isinstance(r, TagPath) else _neighbour(hit, *_slot(r))).alias("collocate"),
                 )
                 for name, r in relations.items()
             ]
@@ -172,13 +201,44 @@ def _neighbour(hit: Column, offset: int, tag: str | None) -> Column:
     return F.when(fits, F.try_element_at(F.col("toks"), place))
 
 
+def _path_end(hit: Column, path: TagPath) -> Column:
+    """The collocate that a path leads to: walking (0), stopped (-1) or there, after so many tokens."""
+
+    def step(state: Column, k: Column) -> Column:
+        tag = F.get("tag", hit["pos"] + k * path.sign)
+        return (
+            F.when(state != 0, state).when(F.rlike(tag, F.lit(path.tag)), k).when(F.rlike(tag, F.lit(path.through)), 0).otherwise(-1)
+        )
+
+    far = F.aggregate(F.sequence(F.lit(1), F.lit(path.most + 1)), F.lit(0), step)
+    return bind(far, lambda k: F.when(k > 0, F.get("toks", hit["pos"] + k * path.sign)))
+
+
+def _heads(path: TagPath) -> Column:
+    """For each token from how many words a path leads to it: the next one, and those behind tokens
+    that a path may pass. The state counts up; a stopped one is its complement."""
+    places = F.when(F.size("toks") > 0, F.sequence(F.lit(0), F.size("toks") - 1)).otherwise(F.array().cast("array<int>"))
+
+    def heads(place: Column) -> Column:
+        def step(state: Column, k: Column) -> Column:
+            tag = F.get("tag", place - k * path.sign)
+            passes = F.rlike(tag, F.lit(path.through)) & ~F.rlike(tag, F.lit(path.tag))
+            more = F.when(passes, state + 1).otherwise(-(state + 1) - 1)
+            return F.when((state < 0) | tag.isNull(), state).otherwise(more)
+
+        last = F.aggregate(F.sequence(F.lit(1), F.lit(path.most + 1)), F.lit(0), step)
+        return F.when(F.rlike(F.get("tag", place), F.lit(path.tag)), bind(last, lambda s: F.when(s < 0, -s - 1).otherwise(s))).otherwise(0)
+
+    return F.transform(places, heads)
+
+
 def word_sketch(
     corpus: DataFrame, lemma: str, relations: dict[str, Relation] = RELATIONS, min_freq: int = 1
 ) -> DataFrame:
     """Collocates of a word by relation.
 
-    A relation is a positional slot, or a slot and a pattern for the collocate's tag. On a
-    lemmatized corpus the word and its collocates are lemmas.
+    A relation is a positional slot, a slot and a pattern for the collocate's tag, or a
+    :class:`TagPath`. On a lemmatized corpus the word and its collocates are lemmas.
     """
     return (
         _sketches(corpus, [lemma], relations)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lexigrid.functions.request import call_key, canonical_json, key_text, normalize_params, normalized_entries, step_kind
 from lexigrid.functions.text import rule_kind
@@ -193,6 +193,20 @@ def calls_by_type(calls: DataFrame, first: int = 3) -> DataFrame:
     return totals.join(head, "call_type").select("call_type", "total", "rank", "call_id")
 
 
+def write_by_type(calls: DataFrame, path: str) -> None:
+    """Write calls to one folder per type. Folders of types that occur in ``calls`` are replaced,
+    all others stay; no type is moved into one task, however many calls it has."""
+    calls.write.partitionBy("call_type").option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path)
+
+
+def read_by_type(spark: SparkSession, path: str, types: list[str] | None = None) -> DataFrame:
+    """Calls written by :func:`write_by_type`, of some types only if named: the folders of others
+    are not read."""
+    calls = spark.read.option("basePath", path).parquet(path)
+    calls = calls.withColumn("call_type", F.col("call_type").cast("string"))
+    return calls if types is None else calls.filter(F.col("call_type").isin(types))
+
+
 def step_fields(calls: DataFrame) -> DataFrame:
     """One row per query step: kind, attribute, body and its kind, sample size."""
     numbered = F.transform(
