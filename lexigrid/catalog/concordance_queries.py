@@ -9,7 +9,7 @@ from lexigrid.catalog.frequency_queries import the_hits
 from lexigrid.catalog.registry import BASE, HITS, LOWER, OFFSETS, WORDS, query
 from lexigrid.operators import concordance as c
 from lexigrid.operators import match as m
-from lexigrid.operators.positions import annotate, attribute_arrays, offsets_of, positions, with_toknum
+from lexigrid.operators.positions import offsets_of, with_toknum
 from lexigrid.sources.corpus import containing, load_corpus, with_tokens
 
 
@@ -106,22 +106,14 @@ def c14(spark, sf_dir):
         WHERE h.lc = 'the' GROUP BY 1, 2""",
 )
 def c15(spark, sf_dir):
-    matched = m.match(annotated_documents(spark, sf_dir), [m.term("the")])
-    lines = c.view_lines(matched, 2, 2, ["#"], attrs=True)
+    words = lexicon(documents(spark, sf_dir))
+    lines = c.view_lines(the_docs(spark, sf_dir, word=True), 2, 2, ["#"], lexicon=words, untagged="X")
     parts = F.concat("line.Left", "line.Kwic", "line.Right")
     return lines.select(
         "doc_id", "pos", F.array_join(F.transform(parts, lambda s: s["str"]), " ").alias("segments")
     )
 
 
-def annotated_documents(spark, sf_dir, *keep):
-    """Documents holding ``the``, with lemma and tag arrays."""
-    corpus = documents(spark, sf_dir, word=True)
-    tokens = positions(with_tokens(containing(load_corpus(spark, sf_dir), "the"), word=True), *keep)
-    rows = annotate(tokens, lexicon(corpus)).fillna("X", ["tag"])
-    return attribute_arrays(rows, *keep)
-
-
 @query(
     "c16_kwic_text",
     f"""WITH d AS (SELECT doc_id, {LOWER} AS l, {WORDS} AS t FROM documents),

@@ -8,14 +8,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lexigrid.catalog.concordance_queries import annotated_documents, the_lines
-from lexigrid.catalog.corpus_queries import LEXICON_SQL
+from lexigrid.catalog.concordance_queries import the_docs, the_lines
+from lexigrid.catalog.corpus_queries import LEXICON_SQL, documents, lexicon
 from lexigrid.catalog.frequency_queries import the_hits
 from lexigrid.catalog.registry import BASE, HITS, LOWER, OFFSETS, WORDS, query
 from lexigrid.functions.arrays import struct_of_arrays
 from lexigrid.functions.text import count_tokens, split_paragraphs, split_sentences
 from lexigrid.operators import concordance as c
-from lexigrid.operators import match as m
 from lexigrid.operators import responses as r
 from lexigrid.plans.scale import with_once
 from lexigrid.sources.corpus import load_corpus, read_table
@@ -238,9 +237,8 @@ a AS (SELECT tok.doc_id, tok.source, tok.pos, word, tok.w AS lc, coalesce(lemma,
 
 
 def annotated_lines(spark, sf_dir):
-    docs = annotated_documents(spark, sf_dir, "source")
-    matched = m.match(docs, [m.term("the")])
-    return c.view_lines(matched, 4, 4, ["#", "=source"], attrs=True)
+    words = lexicon(documents(spark, sf_dir))
+    return c.view_lines(the_docs(spark, sf_dir, word=True), 4, 4, ["#", "=source"], lexicon=words, untagged="X")
 
 
 @query(

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from lexigrid.functions.arrays import bind
 from lexigrid.operators.match import ATTRIBUTES
 from lexigrid.operators.positions import reference_array, with_sentences
-from lexigrid.plans.scale import explode_kept, materialized, running_offsets, smallest, top_per_group, with_once
+from lexigrid.plans.scale import explode_kept, materialized, running_offsets, salted_join, smallest, top_per_group, with_once
 
 SEGMENT = "struct<str:string,class:string>"
+PARTS = ("Left", "Kwic", "Right")
 
 
 def concsize(matched: DataFrame) -> DataFrame:
@@ -165,6 +167,43 @@ def attr_segments(word: Column, tag: Column, lemma: Column) -> Column:
     )
 
 
+def annotated_parts(matched: DataFrame, left: int, right: int, lexicon: DataFrame, untagged: str, *keep: str) -> DataFrame:
+    """Per document its lines, cut, with tags and lemmas: ``lines`` of ``pos``, ``i``, ``Left``,
+    ``Kwic``, ``Right``, whose tokens are ``struct<word, tag, lemma>``.
+
+    Only words in contexts are looked up in the lexicon (unique ``lc``; a word that it lacks is its
+    own lemma), each once per document; tokens outside contexts are not moved.
+    """
+    tokens = F.arrays_zip("word", "toks").cast("array<struct<word:string,lc:string>>")
+
+    def line(hit: Column, i: Column) -> Column:
+        parts = _context(F.col("_tokens"), hit, left, right)
+        return F.struct(hit["pos"].cast("bigint").alias("pos"), i.alias("i"), *[x.alias(n) for x, n in zip(parts, PARTS)])
+
+    cut = with_once(matched.filter(F.size("hits") > 0), "_tokens", tokens)
+    cut = materialized(cut.select("doc_id", *keep, F.transform("hits", line).alias("_lines")))
+    words = F.flatten(F.transform("_lines", lambda x: F.transform(F.concat(*[x[n] for n in PARTS]), lambda c: c["lc"])))
+    needed = explode_kept(cut, F.array_distinct(words), "lc", "doc_id")
+    looked = salted_join(needed, lexicon.select("lc", "lemma", "tag"), ["lc"])
+    entry = F.struct("lc", F.struct("lemma", "tag"))
+    maps = looked.groupBy("doc_id").agg(F.map_from_entries(F.collect_list(entry)).alias("_known"))
+
+    def filled(cells: Column) -> Column:
+        def one(c: Column) -> Column:
+            def with_known(known: Column) -> Column:
+                tag = F.coalesce(known["tag"], F.lit(untagged))
+                return F.struct(c["word"].alias("word"), tag.alias("tag"), F.coalesce(known["lemma"], c["lc"]).alias("lemma"))
+
+            return bind(F.try_element_at("_known", c["lc"]), with_known)
+
+        return F.transform(cells, one)
+
+    def known(x: Column) -> Column:
+        return F.struct(x["pos"].alias("pos"), x["i"].alias("i"), *[filled(x[n]).alias(n) for n in PARTS])
+
+    return cut.join(maps, "doc_id", "left").select("doc_id", *keep, F.transform("_lines", known).alias("lines"))
+
+
 def view_lines(
     matched: DataFrame,
     left: int,
@@ -172,12 +211,15 @@ def view_lines(
     refs: list[str],
     attrs: bool = False,
     offsets: DataFrame | None = None,
+    lexicon: DataFrame | None = None,
+    untagged: str = "",
 ) -> DataFrame:
     """Concordance lines ``toknum, Refs, Left, Kwic, Right`` as one struct per hit.
 
     ``matched`` carries the text types in ``refs``, and ``word`` (with ``attrs`` also ``tag`` and
     ``lemma``). Lines are cut on their row, then ``offsets`` is joined on; with its ``first_hit``
     each line also gets its number ``hit``. Without ``offsets`` tokens count from each document.
+    With a ``lexicon`` (``lc, lemma, tag``) the lines have attributes, looked up after cutting.
     """
     layers = ["word", "tag", "lemma"] if attrs else ["word"]
 
@@ -190,11 +232,19 @@ def view_lines(
         return F.struct(
             hit["pos"].cast("bigint").alias("pos"),
             i.alias("i"),
-            *[p.alias(name) for p, name in zip(parts, ("Left", "Kwic", "Right"))],
+            *[p.alias(name) for p, name in zip(parts, PARTS)],
         )
 
+    def looked_up(x: Column) -> Column:
+        parts = [attr_segments(*[x[n][a] for a in ("word", "tag", "lemma")]).alias(n) for n in PARTS]
+        return F.struct(x["pos"].alias("pos"), x["i"].alias("i"), *parts)
+
     types = [r.removeprefix("=") for r in refs if r != "#"]
-    rows = explode_kept(matched, F.transform(F.col("hits"), line), "h", "doc_id", *types)
+    if lexicon is None:
+        rows = explode_kept(matched, F.transform(F.col("hits"), line), "h", "doc_id", *types)
+    else:
+        rows = annotated_parts(matched, left, right, lexicon, untagged, *types)
+        rows = explode_kept(rows, F.transform("lines", looked_up), "h", "doc_id", *types)
     start, number = F.lit(0), []
     if offsets is not None:
         rows, start = rows.join(offsets, "doc_id"), F.col("offset")
