@@ -158,21 +158,22 @@ def expand_pages(calls: DataFrame, sizes: DataFrame, max_pages: int = 0) -> Data
     ).drop("_first", "_pagesize", "_last", "_block")
 
 
-def expand_by_values(templates: DataFrame, values: DataFrame, blocks: int = 64) -> DataFrame:
+def expand_by_values(templates: DataFrame, values: DataFrame, block: int = 1000) -> DataFrame:
     """Calls of a template, one per value of its text type, with a ``within`` clause.
 
     ``templates``: ``call_id, call_type, corpname, attribute, q array<string>``;
-    ``values``: ``corpname, attribute, value``. The values of a text type are gathered (they are
-    what one template becomes, so the result is larger in any case) in ``blocks`` lists, which the
-    templates meet; each template row then opens its lists by itself.
+    ``values``: ``corpname, attribute, value``. The values of a text type are dealt into lists of
+    about ``block``, as many as their number asks for; a template meets each list once and opens it
+    on its own row. So neither a list nor a task grows with the number of values.
     """
-    numbered = values.select("corpname", "attribute", "value").distinct()
-    numbered = numbered.withColumn("_block", F.pmod(F.xxhash64("value"), F.lit(blocks)))
-    lists = numbered.groupBy("corpname", "attribute", "_block").agg(F.collect_list("value").alias("_values"))
-    held = lists.groupBy("corpname", "attribute").agg(F.collect_list("_block").alias("_blocks"))
-    spread = salted_join(templates, held, ["corpname", "attribute"]).withColumn("_block", F.explode("_blocks")).drop("_blocks")
-    met = salted_join(spread, lists, ["corpname", "attribute", "_block"])
-    pairs = met.withColumn("value", F.explode("_values")).drop("_values", "_block")
+    keys = ["corpname", "attribute"]
+    distinct = values.select(*keys, "value").distinct()
+    counts = distinct.groupBy(*keys).agg(F.ceil(F.count("*") / block).cast("int").alias("_blocks"))
+    dealt = salted_join(distinct, counts, keys).withColumn("_block", F.pmod(F.xxhash64("value"), F.col("_blocks")).cast("int"))
+    lists = dealt.groupBy(*keys, "_block").agg(F.collect_list("value").alias("_values"))
+    spread = salted_join(templates, counts, keys)
+    spread = spread.withColumn("_block", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))).drop("_blocks")
+    pairs = spread.join(lists, [*keys, "_block"]).withColumn("value", F.explode("_values")).drop("_values", "_block")
     clause = F.concat(
         F.lit(" within <"),
         F.substring_index("attribute", ".", 1),

@@ -63,14 +63,18 @@ def running_offsets(
 def materialized(df: DataFrame) -> DataFrame:
     """Compute a table once that several parts of a plan read, and cut its lineage.
 
-    It goes to the folder of ``spark.checkpoint.dir``; where that is unset, to a folder in the
-    session's warehouse, which all executors share as well.
+    It goes to the folder of ``spark.checkpoint.dir``. Only a local session may leave that unset (then
+    the folder lies in its warehouse): on a cluster the executors have to share it.
     """
     spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(folder or f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints")
+        if folder is None:
+            if not context.master.startswith("local"):
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+            folder = f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints"
+        context.setCheckpointDir(folder)
     return df.checkpoint()
 
 

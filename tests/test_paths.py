@@ -77,3 +77,11 @@ def test_calls_are_kept_by_type(spark, tmp_path):
     assert got == [rows[1], rows[3], (9, "View", {"corpname": ["d"]}, {})]
     some = r.read_by_type(spark, path, ["Freqs"])
     assert [x.call_id for x in some.collect()] == [1] and "PartitionFilters: [isnotnull(call_type" in some._jdf.queryExecution().executedPlan().toString()
+
+
+def test_values_are_dealt_into_lists_by_their_number(spark):
+    templates = spark.createDataFrame([(i, "View", "c", f"doc.{x}", ["q", "r5"]) for i, x in enumerate("abbz")], "call_id long, call_type string, corpname string, attribute string, q array<string>")
+    rows = [("c", "doc.a", f"v{i}") for i in range(25)] + [("c", "doc.b", "w")] * 3 + [("d", "doc.b", "other")]
+    got = r.expand_by_values(templates, spark.createDataFrame(rows, "corpname string, attribute string, value string"), block=4).collect()
+    assert sorted((x.call_id, x.value) for x in got) == sorted([(0, f"v{i}") for i in range(25)] + [(1, "w"), (2, "w")])
+    assert {tuple(x.q) for x in got if x.call_id == 1} == {('q within <doc b="w" />', "r5")}
