@@ -91,7 +91,9 @@ def lemmatized(corpus: DataFrame, lexicon: DataFrame) -> DataFrame:
     rows = annotate(posexplode_kept(corpus, F.col("toks"), "lc", "doc_id"), lexicon)
     cells = F.struct("pos", "lemma", F.coalesce("tag", F.lit("")).alias("tag"))
     packed = rows.groupBy("doc_id").agg(F.array_sort(F.collect_list(cells)).alias("t"))
-    return packed.select("doc_id", F.col("t.lemma").alias("toks"), F.col("t.tag").alias("tag"))
+    # made once; else every look into an array would make it anew from the cells
+    arrays = with_once(packed, "_a", F.struct(F.col("t.lemma").alias("toks"), F.col("t.tag").alias("tag")))
+    return arrays.select("doc_id", "_a.toks", "_a.tag")
 
 
 def attribute_arrays(annotated: DataFrame, *keep: str) -> DataFrame:
@@ -104,9 +106,8 @@ def attribute_arrays(annotated: DataFrame, *keep: str) -> DataFrame:
         F.array_sort(F.collect_list(F.struct("pos", *attrs))).alias("t")
     )
     names = {"lc": "toks"}
-    return rows.select(
-        "doc_id", *keep, *[F.col(f"t.{a}").alias(names.get(a, a)) for a in attrs]
-    )
+    arrays = with_once(rows, "_a", F.struct(*[F.col(f"t.{a}").alias(names.get(a, a)) for a in attrs]))
+    return arrays.select("doc_id", *keep, *[f"_a.{names.get(a, a)}" for a in attrs])
 
 
 def with_sentences(corpus: DataFrame) -> DataFrame:
