@@ -145,15 +145,20 @@ def with_structures(corpus: DataFrame) -> DataFrame:
     def span(pos: Column, end: Column) -> Column:
         return F.struct(pos.cast("int").alias("pos"), end.cast("int").alias("end"))
 
+    def structures(sents: Column) -> Column:
+        toks = F.flatten(F.transform(sents, lambda s: s["toks"]))
+        first = F.filter(sents, lambda s, i: (i == 0) | (F.get(sents, i - 1)["par"] != s["par"]))
+        starts = F.transform(first, lambda s: s["pos"])
+        last = F.get(sents, F.size(sents) - 1)
+        length = last["pos"] + F.size(last["toks"])
+        pars = bind(starts, lambda at: F.transform(at, lambda p, i: span(p, F.coalesce(F.get(at, i + 1), length))))
+        spans = F.transform(sents, lambda s: span(s["pos"], s["pos"] + F.size(s["toks"])))
+        return F.struct(toks.alias("toks"), spans.alias("sent"), pars.alias("par"))
+
+    # each made once: what looks into an array must not make it anew
     sents = with_once(with_sentences(corpus), "_sents", F.col("sents")).drop("sents")
-    first = F.filter("_sents", lambda s, i: (i == 0) | (F.get("_sents", i - 1)["par"] != s["par"]))
-    starts = F.transform(first, lambda s: s["pos"])
-    length = F.size("toks")
-    whole = sents.withColumn("toks", F.flatten(F.transform("_sents", lambda s: s["toks"])))
-    pars = bind(starts, lambda at: F.transform(at, lambda p, i: span(p, F.coalesce(F.get(at, i + 1), length))))
-    return whole.withColumns(
-        {"sent": F.transform("_sents", lambda s: span(s["pos"], s["pos"] + F.size(s["toks"]))), "par": pars}
-    ).drop("_sents")
+    made = with_once(sents, "_made", structures(F.col("_sents")))
+    return made.select(*corpus.columns, "_made.*")
 
 
 def structure_rows(corpus: DataFrame) -> DataFrame:
