@@ -4,7 +4,8 @@ Texts are sets of shingles (five words; a shorter text is one shingle). Equal se
 with a number of copies. Sets are split along chosen paths: a run starts with one min-hash
 coordinate, and the sets that share its value are a bucket; a bucket that is too large is split
 again by coordinates drawn from its own path, until it is small. Small buckets are compared in
-full by their min-hash sketches. A branch that keeps at least half of its bucket is taken whole
+full by their min-hash sketches. In a larger one all sets are compared with one that is drawn anew for
+each bucket: those alike are linked to it, and it and those close to it go no further. A branch that keeps at least half of its bucket is taken whole
 as one cluster instead of being split on. Runs with fresh paths repeat until a pair at the
 threshold is met with the target recall.
 
@@ -32,7 +33,7 @@ from lexigrid.llm.bytetext import U64, Texts, each_slice, grams, lists, mix, pre
 from lexigrid.llm.graph import components
 from lexigrid.llm.registry import query
 from lexigrid.llm.words import broadcast_if_small
-from lexigrid.plans.scale import materialized
+from lexigrid.plans.scale import materialized, salted_join
 
 COORDINATES = 64
 BRANCHES = 2
@@ -159,16 +160,26 @@ def candidate_links(sets: DataFrame, threshold: float, recall: float) -> DataFra
     value = lambda mins, at: F.element_at(mins, at + 1)
     spread = F.posexplode(F.slice("_mins", 1, runs)).alias("_run", "_value")
     rows = sets.select("_set", spread).select("_set", F.xxhash64("_run", "_value").alias("_bucket"), F.lit(None).cast("long").alias("_parent_size"))
+    # sets this near to one that is linked to all its partners share these partners' links
+    close = math.ceil(COORDINATES * (1 + threshold) / 2 - math.sqrt(COORDINATES * (1 - threshold) * threshold))
+    equal = F.aggregate(F.zip_with("_mins", "_of", lambda x, y: (x == y).cast("int")), F.lit(0), lambda n, x: n + x)
     found = []
     while True:
-        sizes = rows.groupBy("_bucket").agg(F.count("*").alias("_size"), F.min("_set").alias("_least")).filter("_size > 1")
+        # another middle in each bucket, so that no set is the middle of all paths
+        drawn = F.min(F.struct(F.xxhash64("_bucket", "_set").alias("draw"), "_set"))
+        sizes = rows.groupBy("_bucket").agg(F.count("*").alias("_size"), drawn["_set"].alias("_middle")).filter("_size > 1")
         placed = materialized(rows.join(sizes, "_bucket"))
-        whole = (F.col("_parent_size").isNotNull()) & (2 * F.col("_size") >= F.col("_parent_size")) & (F.col("_size") > SMALL_BUCKET)
         small = placed.filter(F.col("_size") <= SMALL_BUCKET).select("_bucket", "_set")
         held = small.join(sets.select("_set", "_sketch"), "_set").repartition("_bucket").sortWithinPartitions("_bucket", "_set")
         found.append(held.mapInArrow(_similar(least), "a long, b long"))
-        found.append(placed.filter(whole & (F.col("_set") != F.col("_least"))).select(F.col("_least").alias("a"), F.col("_set").alias("b")))
-        active = placed.filter((F.col("_size") > SMALL_BUCKET) & ~whole).select("_set", "_bucket", "_size")
+        large = placed.filter((F.col("_size") > SMALL_BUCKET) & (F.col("_set") != F.col("_middle")))
+        middles = placed.filter((F.col("_size") > SMALL_BUCKET) & (F.col("_set") == F.col("_middle"))).select("_bucket", "_set")
+        middles = middles.join(sets.select("_set", F.col("_mins").alias("_of")), "_set").select("_bucket", "_of")
+        met = salted_join(large.join(sets.select("_set", "_mins"), "_set"), middles, ["_bucket"])
+        met = materialized(met.select("_set", "_bucket", "_size", "_parent_size", "_middle", equal.alias("_equal")))
+        whole = (F.col("_parent_size").isNotNull()) & (2 * F.col("_size") >= F.col("_parent_size"))
+        found.append(met.filter(whole | (F.col("_equal") >= least)).select(F.col("_middle").alias("a"), F.col("_set").alias("b")))
+        active = met.filter(~whole & (F.col("_equal") < close)).select("_set", "_bucket", "_size")
         if active.isEmpty():
             break
         branch = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), coordinate(F.col("_bucket"), i).alias("at")) for i in range(BRANCHES)]))
