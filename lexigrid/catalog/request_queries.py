@@ -8,7 +8,7 @@ from lexigrid.catalog.registry import query
 from lexigrid.functions.request import canonical_json, redact_json, redact_url
 from lexigrid.operators import requests as r
 from lexigrid.sources.calls import calls_of
-from lexigrid.sources.corpus import read_table, spread
+from lexigrid.sources.corpus import dealt, read_table, spread
 from lexigrid.sources.responses import (
     new_responses,
     rendered,
@@ -19,7 +19,7 @@ from lexigrid.functions.text import strip_bom
 
 
 def events(spark, sf_dir):
-    rows = spread(read_table(spark, sf_dir, "events"), "event_id")
+    rows = dealt(read_table(spark, sf_dir, "events"), "event_id")
     return rows.withColumn("k", F.get_json_object("props", "$.k").cast("bigint"))
 
 

@@ -1,9 +1,4 @@
-"""Canonical form of nested JSON values, by one fold over their tokens.
-
-The fold keeps a stack of open containers. A closing bracket turns the uppermost one into a value of
-the one below it: its text, and a rank whose order as a string is the order of the values. So
-containers of any depth are sorted inside out, without a recursive function.
-"""
+"""Canonical form of nested JSON values, and of what they are made of."""
 
 from __future__ import annotations
 
@@ -11,10 +6,7 @@ from pyspark.sql import Column, functions as F
 
 from lexigrid.functions.arrays import bind
 from lexigrid.functions.text import BLANKS
-
-TOKEN = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"|[{}\[\],:]|[^\s{}\[\],:"]+'
-VALUE = "struct<rank:string,at:int,name:string,text:string>"
-STACK = f"array<struct<kind:string,name:string,items:array<{VALUE}>>>"
+from lexigrid.functions.udfs import sorted_json
 
 
 def strip(text: Column) -> Column:
@@ -62,57 +54,6 @@ def number_text(token: Column) -> Column:
     )
 
 
-def _number_rank(number: Column) -> Column:
-    shown = F.format_string("%.16e", F.abs(number))
-    power = F.lpad((F.substring_index(shown, "e", -1).cast("int") + 400).cast("string"), 3, "0")
-    digits = F.concat(power, F.replace(F.substring_index(shown, "e", 1), F.lit("."), F.lit("")))
-    falling = F.translate(digits, "0123456789", "9876543210")
-    return F.when(number == 0, "11").when(number > 0, F.concat(F.lit("12"), digits)).otherwise(F.concat(F.lit("10"), falling))
-
-
-def _text_rank(text: Column) -> Column:
-    return F.concat(F.lit("2"), F.replace(text, F.lit("\0"), F.lit("\0\1")), F.lit("\0\0"))
-
-
-def _pair(rank: Column, text: Column) -> Column:
-    return F.struct(rank.alias("rank"), text.alias("text"))
-
-
-def _decoded(token: Column) -> Column:
-    return strip(F.variant_get(F.parse_json(token), "$", "string"))
-
-
-def _scalar(token: Column) -> Column:
-    flag = F.when(token == "true", 1.0).when(token == "false", 0.0)
-    number = F.coalesce(flag, token.try_cast("double"))
-    plain = F.when(flag.isNotNull(), token).otherwise(number_text(token))
-    return (
-        F.when(token.startswith('"'), bind(_decoded(token), lambda s: _pair(_text_rank(s), json_string(s))))
-        .when(token == "null", _pair(F.lit("0"), token))
-        .otherwise(_pair(_number_rank(number), plain))
-    )
-
-
-def _closed(frame: Column, sort: bool) -> Column:
-    def joined(values: Column, shown) -> Column:
-        return F.array_join(F.transform(values, shown), ", ")
-
-    def listed(values: Column) -> Column:
-        ranks = F.array_join(F.transform(values, lambda v: v["rank"]), "")
-        text = F.concat(F.lit("["), joined(values, lambda v: v["text"]), F.lit("]"))
-        return _pair(F.concat(F.lit("3"), ranks, F.lit("\0")), text)
-
-    def named(values: Column) -> Column:
-        # of equal names the last one counts
-        last = F.filter(values, lambda v: ~F.exists(values, lambda o: (o["name"] == v["name"]) & (o["at"] > v["at"])))
-        fields = F.array_sort(F.transform(last, lambda v: F.struct(v["name"].alias("name"), v["text"].alias("text"))))
-        body = joined(fields, lambda v: F.concat(json_string(v["name"]), F.lit(": "), v["text"]))
-        return bind(F.concat(F.lit("{"), body, F.lit("}")), lambda text: _pair(F.concat(F.lit("4"), text), text))
-
-    items = F.array_sort(frame["items"]) if sort else frame["items"]
-    return F.when(frame["kind"] == "{", bind(frame["items"], named)).otherwise(bind(items, listed))
-
-
 def nested_json(text: Column, sort: bool = True) -> Column:
     """A JSON value with names and strings stripped, objects in order of name and lists in order of
     value, ``", "`` and ``": "`` between.
@@ -122,31 +63,9 @@ def nested_json(text: Column, sort: bool = True) -> Column:
     order. Of names that become equal the last one counts. With ``sort=False`` lists keep their
     order. The text must be valid JSON.
     """
+    return F.get(nested_texts(F.array(text), sort), F.lit(0))
 
-    def frame(kind, name, items) -> Column:
-        return F.struct(kind.alias("kind"), name.alias("name"), items.alias("items"))
-
-    nothing = F.lit(None).cast("string")
-    empty = F.array().cast(f"array<{VALUE}>")
-
-    def added(to: Column, value: Column) -> Column:
-        item = F.struct(value["rank"].alias("rank"), F.size(to["items"]).alias("at"), to["name"].alias("name"), value["text"].alias("text"))
-        return F.array(frame(to["kind"], nothing, F.concat(to["items"], F.array(item))))
-
-    def step(stack: Column, token: Column) -> Column:
-        top, below = F.element_at(stack, -1), F.element_at(stack, -2)
-
-        def but(n: int) -> Column:
-            return F.slice(stack, F.lit(1), F.size(stack) - n)
-
-        return (
-            F.when(token.isin(",", ":"), stack)
-            .when(token.isin("{", "["), F.concat(stack, F.array(frame(token, nothing, empty))))
-            .when(token.isin("}", "]"), F.concat(but(2), bind(_closed(top, sort), lambda v: added(below, v))))
-            .when((top["kind"] == "{") & top["name"].isNull(), F.concat(but(1), F.array(frame(top["kind"], _decoded(token), top["items"]))))
-            .otherwise(F.concat(but(1), bind(_scalar(token), lambda v: added(top, v))))
-        )
 
-    start = F.array(frame(F.lit(""), nothing, empty)).cast(STACK)
-    tokens = F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0))
-    return F.aggregate(tokens, start, lambda stack, t: step(stack, t).cast(STACK), lambda stack: stack[0]["items"][0]["text"])
+def nested_texts(texts: Column, sort: bool = True) -> Column:
+    """:func:`nested_json` of each text of an array; nulls pass through."""
+    return sorted_json(sort, BLANKS)(texts)

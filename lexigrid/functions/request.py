@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from lexigrid.functions.arrays import bind
-from lexigrid.functions.nested import json_string, nested_json, strip
+from lexigrid.functions.nested import json_string, nested_texts, strip
 from lexigrid.functions.udfs import blake2b_32
 
 PARAMS = "map<string,array<string>>"
@@ -20,11 +20,11 @@ def normalized_entries(params: Column, kinds: Column | None = None, sort_lists:
     Lists keep their order, which is the order of execution; only the key sorts them.
     """
 
-    def entry(e: Column) -> Column:
+    def entry(e: Column, nested: Column | None = None) -> Column:
         kind = F.lit("") if kinds is None else F.coalesce(F.try_element_at(kinds, e["key"]), F.lit(""))
         items = F.transform(e["value"], strip)
         plain = F.sort_array(items) if sort_lists else items
-        value = plain if kinds is None else F.when(kind == "json", F.transform(e["value"], lambda v: nested_json(v, sort_lists))).otherwise(plain)
+        value = plain if nested is None else F.when(nested.isNotNull(), F.array(nested)).otherwise(plain)
         return F.struct(strip(e["key"]).alias("key"), value.alias("value"), kind.alias("kind"))
 
     def last_ones(es: Column) -> Column:
@@ -34,7 +34,17 @@ def normalized_entries(params: Column, kinds: Column | None = None, sort_lists:
 
         return F.filter(es, is_last)
 
-    return bind(F.transform(F.map_entries(params), entry), last_ones)
+    entries = F.map_entries(params)
+    if kinds is None:
+        return bind(F.transform(entries, lambda e: entry(e)), last_ones)
+    return bind(F.zip_with(entries, _nested(entries, kinds, sort_lists), entry), last_ones)
+
+
+def _nested(entries: Column, kinds: Column, sort: bool) -> Column:
+    """Per entry its nested value, null for other kinds; calls without any do not go through Python."""
+    texts = F.transform(entries, lambda e: F.when(F.try_element_at(kinds, e["key"]) == "json", F.get(e["value"], F.lit(0))))
+    given = F.when(F.array_contains(F.map_values(kinds), F.lit("json")), texts)
+    return F.coalesce(nested_texts(given, sort), F.array().cast("array<string>"))
 
 
 def normalize_params(params: Column, sort_lists: bool = False) -> Column:
@@ -51,7 +61,7 @@ def canonical_json(params: Column, kinds: Column | None = None) -> Column:
     parameter without a value, and ``json`` one item of JSON text, which is sorted all through.
     """
 
-    def value(e: Column) -> Column:
+    def value(e: Column, nested: Column | None = None) -> Column:
         items = F.transform(F.sort_array(e["value"]), json_string)
         as_list = F.concat(F.lit("["), F.array_join(items, ", "), F.lit("]"))
         scalar = F.size(e["value"]) == 1
@@ -62,17 +72,18 @@ def canonical_json(params: Column, kinds: Column | None = None) -> Column:
         bare = F.concat(F.lit("["), F.array_join(F.transform(sized, lambda x: x["s"]), ", "), F.lit("]"))
         return (
             F.when(kind == "null", F.lit("null"))
-            .when(kind == "json", nested_json(F.get(e["value"], F.lit(0))))
+            .when(kind == "json", nested)
             .when(kind == "numbers", bare)
             .when(scalar & (kind != "list"), F.get(items, F.lit(0)))
             .otherwise(as_list)
         )
 
-    entries = F.transform(
-        F.array_sort(F.map_entries(params)),
-        lambda e: F.concat(json_string(e["key"]), F.lit(": "), value(e)),
-    )
-    return F.concat(F.lit("{"), F.array_join(entries, ", "), F.lit("}"))
+    def shown(e: Column, nested: Column | None = None) -> Column:
+        return F.concat(json_string(e["key"]), F.lit(": "), value(e, nested))
+
+    entries = F.array_sort(F.map_entries(params))
+    fields = F.transform(entries, lambda e: shown(e)) if kinds is None else F.zip_with(entries, _nested(entries, kinds, True), shown)
+    return F.concat(F.lit("{"), F.array_join(fields, ", "), F.lit("}"))
 
 
 def key_text(

@@ -28,6 +28,16 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     return df if parts is None else df.repartition(int(parts), key)
 
 
+def dealt(df: DataFrame, key: str) -> DataFrame:
+    """Deal narrow rows evenly to as many parts as :func:`spread` does, or else as the session's
+    shuffles have.
+
+    For work that costs far more than moving a row: a file may hold millions of short rows in one split.
+    """
+    conf = df.sparkSession.conf
+    return df.repartition(int(conf.get("lexigrid.parts", None) or conf.get("spark.sql.shuffle.partitions")), key)
+
+
 def load_corpus(
     spark: SparkSession,
     sf_dir: str,

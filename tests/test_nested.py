@@ -94,3 +94,19 @@ def test_blanks_around_a_key_leave_it_a_list(calls):
 def test_lists_keep_their_order_outside_the_key(calls):
     got = {r.call_id: r.params for r in normalize_calls(calls).collect()}
     assert got[1]["m"] == ["[[2, 1], [1, 0]]"] and got[0]["json"] == ['{"a": ["x"], "b": 1}']
+
+
+@pytest.mark.parametrize("name", ["k3_canonical_nested", "k4_call_key_nested"])
+def test_calls_are_dealt_out_and_not_folded(spark, name):
+    """A file of events in one split is no single task, and no array is copied for each token."""
+    from lexigrid.catalog import QUERIES
+
+    df = QUERIES[name](spark, "/root/testdata/sf0.001")
+    assert df.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions")) > 1
+    assert "aggregate(" not in df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_values_deeper_than_a_call_stack(spark):
+    deep = "[" * 3000 + "]" * 3000
+    got = spark.createDataFrame([(deep,), ('["\\ud800 ", -1.5, -3, 2e3, "a"]',), (None,)], "v string").select(nested_json(F.col("v")).alias("t")).collect()
+    assert [r.t for r in got] == [deep, '[-3, -1.5, 2000.0, "?", "a"]', None]
