@@ -85,3 +85,13 @@ def test_values_are_dealt_into_lists_by_their_number(spark):
     got = r.expand_by_values(templates, spark.createDataFrame(rows, "corpname string, attribute string, value string"), block=4).collect()
     assert sorted((x.call_id, x.value) for x in got) == sorted([(0, f"v{i}") for i in range(25)] + [(1, "w"), (2, "w")])
     assert {tuple(x.q) for x in got if x.call_id == 1} == {('q within <doc b="w" />', "r5")}
+
+
+@pytest.mark.parametrize("name", ["k5_cache_split", "s2_responses_scan"])
+def test_keys_are_made_once(spark, name):
+    """What splits or joins keyed calls reads them kept, and does not make the keys again."""
+    from lexigrid.catalog import QUERIES
+
+    plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Scan ExistingRDD" in plan or "LogicalRDD" in plan
+    assert "map_entries" not in plan
