@@ -8,7 +8,6 @@ from lexigrid.catalog.corpus_queries import LEXICON_SQL, documents, lexicon
 from lexigrid.catalog.frequency_queries import the_hits
 from lexigrid.catalog.registry import BASE, CORPUS, HITS, LOWER, ORACLES, TOK, query
 from lexigrid.operators import assoc as a
-from lexigrid.operators.positions import lemmatized
 from lexigrid.sources.corpus import load_corpus, with_tokens
 
 COLLS = f"""{BASE}, {HITS}, colls AS (SELECT b.w AS collocate, count(*) AS f_xy FROM hits a JOIN tok b
@@ -153,8 +152,9 @@ tok AS (SELECT doc_id, coalesce(lemma, w) AS w, coalesce(tag, '') AS tag, pos, n
 
 
 def lemmas(spark, sf_dir):
+    """Documents, and the lexicon of their words."""
     corpus = documents(spark, sf_dir)
-    return lemmatized(corpus, lexicon(corpus))
+    return {"corpus": corpus, "lexicon": lexicon(corpus)}
 
 
 @query(
@@ -166,7 +166,7 @@ def lemmas(spark, sf_dir):
 )
 def a4_tag(spark, sf_dir):
     relations = {"left1": -1, "noun_right1": (1, "^NN1$")}
-    return a.word_sketch(lemmas(spark, sf_dir), "with", relations, min_freq=2)
+    return a.word_sketch(lemma="with", relations=relations, min_freq=2, **lemmas(spark, sf_dir))
 
 
 def on_lemmas(sql):
@@ -175,12 +175,12 @@ def on_lemmas(sql):
 
 @query("a5_wsdiff_lemma", on_lemmas(ORACLES["a5_wsdiff"]))
 def a5_lemma(spark, sf_dir):
-    return a.sketch_diff(lemmas(spark, sf_dir), "with", "by", min_freq=2)
+    return a.sketch_diff(lemma="with", lemma2="by", min_freq=2, **lemmas(spark, sf_dir))
 
 
 @query("a6_thes_lemma", on_lemmas(THES))
 def a6_lemma(spark, sf_dir):
-    return a.thesaurus(lemmas(spark, sf_dir), "with", min_freq=3)
+    return a.thesaurus(lemma="with", min_freq=3, **lemmas(spark, sf_dir))
 
 
 def path_sql(name, after, through, tag, most):
@@ -216,4 +216,4 @@ PATHS_SQL = " UNION ALL ".join(
         SELECT relation, collocate, f, f_rel, f_slot, round(logdice, 6) AS logdice FROM s WHERE f >= 2""",
 )
 def a4_sequence(spark, sf_dir):
-    return a.word_sketch(lemmas(spark, sf_dir), "with", PATHS, min_freq=2)
+    return a.word_sketch(lemma="with", relations=PATHS, min_freq=2, **lemmas(spark, sf_dir))

@@ -16,7 +16,7 @@ from lexigrid.functions.measures import (
 )
 from lexigrid.operators.freq import per_million, wordlist
 from lexigrid.operators.match import match, term
-from lexigrid.operators.positions import token_rows
+from lexigrid.operators.positions import lemmatized, token_rows
 from lexigrid.plans.scale import explode_kept, materialized, posexplode_kept, salted_join
 
 
@@ -176,6 +176,43 @@ def _sketches(corpus: DataFrame, lemmas: list[str], relations: dict[str, Relatio
     return joined.withColumn("logdice", log_dice(F.col("f"), F.col("f_rel"), F.col("f_slot")))
 
 
+def _lemma_sketches(corpus: DataFrame, lexicon: DataFrame, lemmas: list[str], relations: dict[str, Relation]) -> DataFrame:
+    """:func:`_sketches` of lemmas by positional slots.
+
+    Word forms are counted, and the counts, not the tokens, meet the lexicon: a lemma and a tag
+    follow from the form.
+    """
+    lexicon = materialized(lexicon.select("lc", "lemma", "tag"))
+    slots = {name: _slot(r) for name, r in relations.items()}
+    distances = sorted({abs(k) for k, _ in slots.values()})
+    # the given words may lack a lemma, and be their own
+    given = lexicon.filter(F.col("lemma").isin(lemmas)).agg(F.collect_set("lc")).scalar()
+    pairs = _pair_counts(corpus.withColumn("_given", F.concat(given, F.array(*map(F.lit, lemmas)))), distances, F.col("_given"))
+    pairs = _named(_named(pairs, lexicon, "a"), lexicon, "b")
+
+    def reading(name: str) -> Column:
+        k, tag = slots[name]
+        own, other = ("a", "b") if k > 0 else ("b", "a")
+        held = (F.col("d") == abs(k)) & F.col(f"{own}_lemma").isin(lemmas)
+        held = held if tag is None else held & F.rlike(f"{other}_tag", F.lit(tag))
+        return F.when(held, F.struct(F.col(f"{own}_lemma").alias("w1"), F.lit(name).alias("relation"), F.col(f"{other}_lemma").alias("collocate")))
+
+    triples = explode_kept(pairs, F.array(*map(reading, slots)), "t", "f").groupBy("t.w1", "t.relation", "t.collocate").agg(F.sum("f").alias("f"))
+    of_word = triples.groupBy("w1", "relation").agg(F.sum("f").alias("f_rel"))
+    words = _named(_pair_totals(corpus, distances), lexicon, "w")
+
+    def fills(name: str) -> Column:
+        k, tag = slots[name]
+        n = F.col(f"second{k}" if k > 0 else f"first{-k}")
+        held = n if tag is None else F.when(F.rlike("w_tag", F.lit(tag)), n).otherwise(0)
+        return F.struct(F.lit(name).alias("relation"), held.alias("n"))
+
+    filled = words.select(F.col("w_lemma").alias("collocate"), F.inline(F.array(*map(fills, slots))))
+    totals = filled.groupBy("relation", "collocate").agg(F.sum("n").alias("f_slot"))
+    joined = triples.join(F.broadcast(of_word), ["w1", "relation"]).join(totals, ["relation", "collocate"])
+    return joined.withColumn("logdice", log_dice(F.col("f"), F.col("f_rel"), F.col("f_slot")))
+
+
 def _neighbours(hits: Column, lemma: str, relations: dict[str, Relation]) -> Column:
     def of(hit: Column) -> Column:
         return F.array(
@@ -232,23 +269,42 @@ def _heads(path: TagPath) -> Column:
     return F.transform(places, heads)
 
 
+def _sketched(corpus: DataFrame, lexicon: DataFrame | None, lemmas: list[str], relations: dict[str, Relation]) -> DataFrame:
+    if lexicon is None:
+        return _sketches(corpus, lemmas, relations)
+    if any(isinstance(r, TagPath) or _slot(r)[0] == 0 for r in relations.values()):
+        # a way needs the tags of all tokens in their places
+        return _sketches(lemmatized(corpus, lexicon), lemmas, relations)
+    return _lemma_sketches(corpus, lexicon, lemmas, relations)
+
+
 def word_sketch(
-    corpus: DataFrame, lemma: str, relations: dict[str, Relation] = RELATIONS, min_freq: int = 1
+    corpus: DataFrame,
+    lemma: str,
+    relations: dict[str, Relation] = RELATIONS,
+    min_freq: int = 1,
+    lexicon: DataFrame | None = None,
 ) -> DataFrame:
     """Collocates of a word by relation.
 
     A relation is a positional slot, a slot and a pattern for the collocate's tag, or a
-    :class:`TagPath`. On a lemmatized corpus the word and its collocates are lemmas.
+    :class:`TagPath`. On a lemmatized corpus, or with a ``lexicon`` (``lc, lemma, tag``, unique
+    ``lc``) for the words of ``corpus``, the word and its collocates are lemmas.
     """
     return (
-        _sketches(corpus, [lemma], relations)
+        _sketched(corpus, lexicon, [lemma], relations)
         .filter(F.col("f") >= min_freq)
         .select("relation", "collocate", "f", "f_rel", "f_slot", F.round("logdice", 6).alias("logdice"))
     )
 
 
 def sketch_diff(
-    corpus: DataFrame, lemma: str, lemma2: str, relations: dict[str, Relation] = RELATIONS, min_freq: int = 1
+    corpus: DataFrame,
+    lemma: str,
+    lemma2: str,
+    relations: dict[str, Relation] = RELATIONS,
+    min_freq: int = 1,
+    lexicon: DataFrame | None = None,
 ) -> DataFrame:
     """Two sketches side by side; what one lacks counts as 0.
 
@@ -259,7 +315,7 @@ def sketch_diff(
         return F.coalesce(F.max(F.when(F.col("w1") == word, F.col(value))), F.lit(0))
 
     both = (
-        _sketches(corpus, [lemma, lemma2], relations)
+        _sketched(corpus, lexicon, [lemma, lemma2], relations)
         .filter(F.col("f") >= min_freq)
         .groupBy("relation", "collocate")
         .agg(
@@ -279,8 +335,9 @@ def sketch_diff(
     )
 
 
-def _pair_counts(corpus: DataFrame, distances: list[int]) -> DataFrame:
-    """How often word ``b`` stands ``d`` tokens after word ``a``."""
+def _pair_counts(corpus: DataFrame, distances: list[int], of: Column | None = None) -> DataFrame:
+    """How often word ``b`` stands ``d`` tokens after word ``a``; on request only where one of the two
+    is in the array ``of``."""
     n = F.size("toks")
 
     def at(d: int) -> Column:
@@ -293,22 +350,60 @@ def _pair_counts(corpus: DataFrame, distances: list[int]) -> DataFrame:
         return zipped.cast("array<struct<d:int,a:string,b:string>>")
 
     pairs = F.concat(*[at(d) for d in distances])
+    if of is not None:
+        pairs = F.filter(pairs, lambda p: F.array_contains(of, p["a"]) | F.array_contains(of, p["b"]))
     return explode_kept(corpus, pairs, "p").groupBy("p.d", "p.a", "p.b").agg(F.count("*").alias("f"))
 
 
-def context_scores(corpus: DataFrame, relations: dict[str, int], min_freq: int) -> DataFrame:
-    """``w, relation, c, s`` with positive logDice for all words.
+def _pair_totals(corpus: DataFrame, distances: list[int]) -> DataFrame:
+    """For each word, and each distance ``d``, in how many pairs it stands first (``first<d>``) and
+    second (``second<d>``): the sums of all pair counts, without counting the pairs."""
+    rows = token_rows(corpus.withColumn("n", F.size("toks")), "n")
+    pos = F.col("pos")
+    return rows.groupBy("w").agg(
+        *[F.count(F.when(pos + d < F.col("n"), 1)).alias(f"first{d}") for d in distances],
+        *[F.count(F.when(pos >= d, 1)).alias(f"second{d}") for d in distances],
+    )
+
+
+def _named(words: DataFrame, lexicon: DataFrame, word: str) -> DataFrame:
+    """Add lemma and tag of the words in a column, ``<word>_lemma`` and ``<word>_tag``, as
+    :func:`lexigrid.operators.positions.lemmatized` has them."""
+    names = lexicon.select(F.col("lc").alias(word), F.col("lemma").alias("_lemma"), F.col("tag").alias("_tag"))
+    joined = words.join(names, word, "left")
+    return joined.withColumns(
+        {f"{word}_lemma": F.coalesce("_lemma", word), f"{word}_tag": F.coalesce("_tag", F.lit(""))}
+    ).drop("_lemma", "_tag")
+
+
+def context_scores(
+    corpus: DataFrame, relations: dict[str, int], min_freq: int, lexicon: DataFrame | None = None
+) -> DataFrame:
+    """``w, relation, c, s`` with positive logDice for all words, or for all lemmas of a lexicon.
 
     A slot to the left mirrors one to the right: pairs are counted and scored once
-    per distance and then read both ways.
+    per distance and then read both ways. Lemmas are put in place of words in the counts, not in the
+    documents, whose tokens stay where they are.
     """
     distances = sorted({abs(k) for k in relations.values()})
-    counts = _pair_counts(corpus, distances)
-    firsts = counts.groupBy("d", "a").agg(F.sum("f").alias("f_a"))
-    seconds = counts.groupBy("d", "b").agg(F.sum("f").alias("f_b"))
+    counts, totals = _pair_counts(corpus, distances), _pair_totals(corpus, distances)
+    if lexicon is not None:
+        # read three times
+        lexicon = materialized(lexicon.select("lc", "lemma", "tag"))
+        named = _named(_named(counts, lexicon, "a"), lexicon, "b")
+        counts = named.groupBy("d", F.col("a_lemma").alias("a"), F.col("b_lemma").alias("b")).agg(F.sum("f").alias("f"))
+        sums = [F.sum(c).alias(c) for c in totals.columns if c != "w"]
+        totals = _named(totals, lexicon, "w").groupBy(F.col("w_lemma").alias("w")).agg(*sums)
     kept = counts.filter(F.col("f") >= min_freq)
-    scored = salted_join(salted_join(kept, firsts, ["d", "a"]), seconds, ["d", "b"])
-    scored = scored.withColumn("s", log_dice(F.col("f"), F.col("f_a"), F.col("f_b")))
+    totals = materialized(totals)
+
+    def of(word: str, place: str) -> DataFrame:
+        return totals.select(F.col("w").alias(word), *[F.col(f"{place}{d}").alias(f"_{place}{d}") for d in distances])
+
+    # a word's pairs are distinct, so none holds so many rows that they would need salts
+    scored = kept.join(of("a", "first"), "a").join(of("b", "second"), "b")
+    f_a, f_b = [F.coalesce(*[F.when(F.col("d") == d, F.col(f"_{place}{d}")) for d in distances]) for place in ("first", "second")]
+    scored = scored.withColumn("s", log_dice(F.col("f"), f_a, f_b))
     readings = F.filter(
         F.array(
             *[
@@ -334,14 +429,16 @@ def thesaurus(
     relations: dict[str, int] = RELATIONS,
     min_freq: int = 1,
     n: int | None = None,
+    lexicon: DataFrame | None = None,
 ) -> DataFrame:
-    """Words sharing contexts with ``lemma``, by shared over total context weight.
+    """Words sharing contexts with ``lemma``, by shared over total context weight; with a ``lexicon``
+    (``lc, lemma, tag``, unique ``lc``) lemmas of the words of ``corpus``.
 
     Each context of another word meets at most one context of ``lemma``, so the
     join adds no rows and needs no cap on frequent contexts.
     """
     # read three times: by all words, by the word itself, and for its total
-    scores = materialized(context_scores(corpus, relations, min_freq))
+    scores = materialized(context_scores(corpus, relations, min_freq, lexicon))
     own = scores.filter(F.col("w") == lemma).select("relation", "c", F.col("s").alias("s_own"))
     own_total = own.agg(F.sum("s_own")).scalar()
     met = salted_join(scores, own, ["relation", "c"], "left")

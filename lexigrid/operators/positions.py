@@ -15,7 +15,6 @@ from lexigrid.plans.scale import (
     explode_kept,
     posexplode_kept,
     running_offsets,
-    salted_join,
     with_once,
 )
 
@@ -75,9 +74,10 @@ def with_toknum(rows: DataFrame, offsets: DataFrame | None = None) -> DataFrame:
 def annotate(positions: DataFrame, lexicon: DataFrame) -> DataFrame:
     """Add ``lemma`` and ``tag`` from a lexicon of ``lc, lemma, tag`` (unique ``lc``).
 
-    A word missing from the lexicon is its own lemma. Frequent words are salted.
+    A word missing from the lexicon is its own lemma. The lexicon may have as many words as the corpus,
+    so it is not repeated for salts; the rows of a frequent word are split by the planner (skew joins).
     """
-    out = salted_join(positions, lexicon.select("lc", "lemma", "tag"), ["lc"], "left")
+    out = positions.join(lexicon.select("lc", "lemma", "tag"), "lc", "left")
     return out.select(
         *positions.columns, F.coalesce("lemma", "lc").alias("lemma"), F.col("tag")
     )
