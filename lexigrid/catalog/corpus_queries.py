@@ -187,7 +187,9 @@ hit_query(
 )
 def c2_lemma(spark, sf_dir):
     corpus = documents(spark, sf_dir, word=True)
-    tokens = annotate(positions(corpus), lexicon(corpus))
+    # no other word can pass the filter; these are the few forms of one lemma
+    words = lexicon(corpus).filter((F.col("lemma") == "a") | F.col("lc").isin("the", "a"))
+    tokens = annotate(positions(corpus), F.broadcast(words))
     return tokens.filter((F.col("lc") == "the") | (F.col("lemma") == "a")).select(
         "doc_id", "pos", "lc", "lemma"
     )

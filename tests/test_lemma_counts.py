@@ -63,3 +63,8 @@ def test_vocabulary_is_not_repeated(spark, monkeypatch):
     phrases = spark.createDataFrame([("p", "one two"), ("q", "three")], "phrase_id string, phrase string")
     assert p.phrase_search(corpus, phrases).count() == 400
     assert sizes and max(sizes) <= 4
+
+
+def test_words_that_cannot_match_are_not_moved(spark):
+    plan = QUERIES["c2_attr_or_lemma"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
