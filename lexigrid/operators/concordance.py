@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from lexigrid.functions.arrays import bind
 from lexigrid.operators.match import ATTRIBUTES
 from lexigrid.operators.positions import reference_array, with_sentences
-from lexigrid.plans.scale import explode_kept, materialized, running_offsets, salted_join, smallest, top_per_group, with_once
+from lexigrid.plans.scale import explode_kept, materialized, running_offsets, smallest, top_per_group, with_once
 
 SEGMENT = "struct<str:string,class:string>"
 PARTS = ("Left", "Kwic", "Right")
@@ -184,7 +184,8 @@ def annotated_parts(matched: DataFrame, left: int, right: int, lexicon: DataFram
     cut = materialized(cut.select("doc_id", *keep, F.transform("hits", line).alias("_lines")))
     words = F.flatten(F.transform("_lines", lambda x: F.transform(F.concat(*[x[n] for n in PARTS]), lambda c: c["lc"])))
     needed = explode_kept(cut, F.array_distinct(words), "lc", "doc_id")
-    looked = salted_join(needed, lexicon.select("lc", "lemma", "tag"), ["lc"])
+    # the lexicon may be as large as the vocabulary, so it is not repeated for salts
+    looked = needed.join(lexicon.select("lc", "lemma", "tag"), "lc")
     entry = F.struct("lc", F.struct("lemma", "tag"))
     maps = looked.groupBy("doc_id").agg(F.map_from_entries(F.collect_list(entry)).alias("_known"))
 

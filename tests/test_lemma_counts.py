@@ -44,7 +44,7 @@ def test_thesaurus_of_counts(words, lemma):
     assert got and got == sorted(map(tuple, a.thesaurus(lemmatized(words["corpus"], words["lexicon"]), lemma, relations, 2).collect()))
 
 
-@pytest.mark.parametrize("name", ["p3_annotate", "c2_attr_or_lemma", "a4_wsketch_sequence"])
+@pytest.mark.parametrize("name", ["p3_annotate", "c2_attr_or_lemma", "a4_wsketch_sequence", "c15_attr_segments"])
 def test_lexicon_is_not_repeated(spark, name):
     assert "_salt" not in QUERIES[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
 
