@@ -51,14 +51,27 @@ class Vocabulary:
                 lengths.add(len(self.bytes[i]))
         order = np.argsort(np.array(hashes, U64))
         self.hashes, self.ids = np.array(hashes, U64)[order], np.array(ids, np.int32)[order]
-        self.seen = np.zeros(1 << 20, bool)
-        self.seen[self.hashes >> U64(44)] = True
+        # where the hashes with the same leading bits begin
+        self.first = np.searchsorted(self.hashes >> U64(44), np.arange((1 << 20) + 1, dtype=U64))
+        self.seen = np.diff(self.first) > 0
+        self.most = int(np.diff(self.first).max(initial=0))
         self.lengths = sorted(lengths, reverse=True)
         self.weight = -sharpness * np.log(2.0 + np.arange(size))
         self.size = np.array([len(b) for b in self.bytes], np.int64)
         self.start = np.cumsum(self.size) - self.size
         self.flat = np.frombuffer(b"".join(self.bytes), np.uint8)
 
+    def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of the hashes are pieces, and the ids of those."""
+        at = self.first[h >> U64(44)]
+        good = self.hashes[np.minimum(at, len(self.hashes) - 1)] == h
+        for _ in range(1, self.most):
+            rest = np.flatnonzero(~good)
+            at[rest] += 1
+            good[rest] = self.hashes[np.minimum(at[rest], len(self.hashes) - 1)] == h[rest]
+        where = np.flatnonzero(good)
+        return where, self.ids[at[where]]
+
     def decode(self, ids: np.ndarray) -> np.ndarray:
         """Bytes of a sequence of pieces."""
         size = self.size[ids]
@@ -91,32 +104,47 @@ class Lattices:
         # unit i has the nodes bounds[i] + i ... bounds[i + 1] + i
         node = np.arange(bounds[-1]) + unit_of
         sums = prefix_hash(unit_data)
-        froms, lengths, ids, weights = [], [], [], []
+        nodes = bounds[-1] + len(size)
+        froms, lengths, ids, weights, places = [], [], [], [], []
+        # edges that end at a node so far
+        count = np.zeros(nodes, np.int64)
+
+        def ended(to: np.ndarray) -> None:
+            places.append(count[to])
+            count[to] += 1
+
         for length in vocabulary.lengths:
             where = np.flatnonzero(left >= length)
             if not len(where):
                 continue
             h = span_hash(sums, where, where + length)
-            likely = vocabulary.seen[h >> U64(44)]
-            where, h = where[likely], h[likely]
-            found = np.minimum(np.searchsorted(vocabulary.hashes, h), len(vocabulary.hashes) - 1)
-            good = vocabulary.hashes[found] == h
-            froms.append(where[good])
-            ids.append(vocabulary.ids[found[good]])
-            lengths.append(np.full(len(ids[-1]), length))
-            weights.append(vocabulary.weight[ids[-1]])
+            likely = np.flatnonzero(vocabulary.seen[h >> U64(44)])
+            found, piece = vocabulary.find(h[likely])
+            froms.append(where[likely[found]])
+            ids.append(piece)
+            lengths.append(np.full(len(piece), length))
+            weights.append(vocabulary.weight[piece])
+            ended(node[froms[-1]] + length)
         froms.append(np.arange(bounds[-1]))
         ids.append(vocabulary.byte_ids[unit_data])
         lengths.append(np.ones(len(unit_data), np.int64))
         weights.append(np.full(len(unit_data), BYTE_WEIGHT))
+        ended(node + 1)
         start_at, length = np.concatenate(froms), np.concatenate(lengths)
-        to_depth = depth[start_at] + length
         from_node = node[start_at]
-        order = np.argsort(to_depth * (bounds[-1] + len(size) + 1) + from_node + length, kind="stable")
+        # edges stand in order of the depth and number of their end; only the nodes are sorted
+        node_depth = np.arange(nodes) - np.repeat(bounds[:-1] + np.arange(len(size)), size + 1)
+        # numbers of 16 bits are sorted in linear time
+        small = node_depth.astype(np.uint16) if size.max(initial=0) < 1 << 16 else node_depth
+        by_depth = np.argsort(small, kind="stable")
+        first = np.empty(nodes, np.int64)
+        first[by_depth] = np.cumsum(count[by_depth]) - count[by_depth]
+        order = np.empty(len(start_at), np.int64)
+        order[first[from_node + length] + np.concatenate(places)] = np.arange(len(start_at))
         self.source = from_node[order]
         self.piece = np.concatenate(ids)[order]
-        weight, to_node, to_depth = np.concatenate(weights)[order], (from_node + length)[order], to_depth[order]
-        nodes = bounds[-1] + len(size)
+        weight, to_node = np.concatenate(weights)[order], (from_node + length)[order]
+        to_depth = node_depth[to_node]
         self.first_edge = np.zeros(nodes, np.int64)
         self.cumulative = np.empty(len(order))
         self.first_node = bounds[:-1] + np.arange(len(size))
