@@ -8,7 +8,7 @@ from lexigrid.catalog.registry import query
 from lexigrid.functions.request import canonical_json, redact_json, redact_url
 from lexigrid.operators import requests as r
 from lexigrid.sources.calls import calls_of
-from lexigrid.plans.scale import materialized
+from lexigrid.plans.scale import materialized, with_once
 from lexigrid.sources.corpus import dealt, read_table, spread
 from lexigrid.sources.responses import (
     new_responses,
@@ -388,7 +388,8 @@ def s3(spark, sf_dir):
     )
     k = events(spark, sf_dir).select(F.col("event_id").alias("call_id"), "k")
     blank_some = F.when(F.col("k") % 9 == 0, "  ").otherwise(canonical_json(F.col("params"), F.col("kinds")))
-    lines = calls.join(k, "call_id").select("call_id", blank_some.alias("value"))
+    # the text is read twice and tested for blanks, but written once
+    lines = with_once(calls.join(k, "call_id"), "value", blank_some).select("call_id", "value")
     canonical = canonical_json(F.col("params"), F.col("kinds"))
     return calls_of(lines).select("call_id", "call_type", canonical.alias("canonical"))
 

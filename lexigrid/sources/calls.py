@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from lexigrid.plans.scale import with_once
+
 # values may be strings, numbers or lists
 RAW = "map<string,variant>"
 
@@ -35,15 +37,15 @@ def calls_of(lines: DataFrame) -> DataFrame:
     raw = F.from_json("value", RAW, {"mode": "FAILFAST"})
     # the second reading keeps numbers and nested values as they are written
     written = F.from_json("value", "map<string,string>")
-    parsed = filled.select("call_id", raw.alias("raw"), written.alias("written"))
+    # each step is read at many places, and would be put into all of them
+    parsed = with_once(with_once(filled.select("call_id", "value"), "raw", raw), "written", written).select("call_id", "raw", "written")
     own = F.map_filter("raw", lambda k, v: k != "call_type")
     kinds = F.transform_values(own, lambda k, v: _kind(v, F.try_element_at("written", k)))
-    return parsed.withColumn("kinds", kinds).select(
+    values = F.transform_values(own, lambda k, v: _values(v, F.try_element_at("kinds", k), F.try_element_at("written", k)))
+    return with_once(with_once(parsed, "kinds", kinds), "params", values).select(
         "call_id",
         F.variant_get(F.try_element_at("raw", F.lit("call_type")), "$", "string").alias("call_type"),
-        F.transform_values(
-            own, lambda k, v: _values(v, F.try_element_at("kinds", k), F.try_element_at("written", k))
-        ).alias("params"),
+        "params",
         F.map_filter("kinds", lambda k, v: v != "").alias("kinds"),
     )
 

@@ -52,3 +52,10 @@ def test_no_token_array_is_moved(spark, name):
     assert moved
     allowed = {"text"} if name == "c8_id_lookup" else set()
     assert not moved & ({"toks", "word", "text", "hits", "sents"} - allowed)
+
+
+def test_calls_are_parsed_once(spark):
+    """Parsed calls, their kinds and their values are read at many places, but computed at one."""
+    plan = QUERIES["s3_calls_scan"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapType(StringType,VariantType") == 1
+    assert plan.count("from_json(MapType(StringType,StringType") <= 1
