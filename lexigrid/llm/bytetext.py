@@ -129,28 +129,28 @@ def texts_of(column: pa.Array) -> Texts:
     return Texts(raw[bounds[0] : bounds[-1]], bounds - bounds[0])
 
 
-def slices(batch: pa.RecordBatch, text: str, limit: int = SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, Texts]]:
-    """The batch in parts of about ``limit`` bytes; a longer text is a part of its own."""
+def slices(batch: pa.RecordBatch, text: str, limit: int = SLICE_BYTES, rows: int | None = None) -> Iterator[tuple[pa.RecordBatch, Texts]]:
+    """The batch in parts of about ``limit`` bytes, and of at most ``rows`` rows; a longer text is a part of its own."""
     at = batch.schema.get_field_index(text)
     whole = texts_of(batch.column(at))
     start = 0
     while start < batch.num_rows:
         upto = whole.offsets[start] + limit
         end = max(start + 1, int(np.searchsorted(whole.offsets, upto, side="right")) - 1)
-        end = min(end, batch.num_rows)
+        end = min(end, batch.num_rows, start + (rows or batch.num_rows))
         lo, hi = whole.offsets[start], whole.offsets[end]
         yield batch.slice(start, end - start), Texts(whole.data[lo:hi], whole.offsets[start : end + 1] - lo)
         start = end
 
 
 def each_slice(
-    work: Callable[[pa.RecordBatch, Texts], pa.RecordBatch | None], text: str, limit: int = SLICE_BYTES
+    work: Callable[[pa.RecordBatch, Texts], pa.RecordBatch | None], text: str, limit: int = SLICE_BYTES, rows: int | None = None
 ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """A ``mapInArrow`` function that applies ``work`` to each slice."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, texts in slices(batch, text, limit):
+            for part, texts in slices(batch, text, limit, rows):
                 out = work(part, texts)
                 if out is not None:
                     yield out

@@ -25,6 +25,8 @@ from lexigrid.llm.registry import query
 from lexigrid.llm.samples import sample_labels
 
 BUCKETS = 2048
+#: bytes and rows of a slice: a row has ``2 * BUCKETS`` features, however short its text is
+SLICE = (1 << 18, 256)
 
 _SHAPE = np.arange(256, dtype=np.uint8)
 _SHAPE[65:91], _SHAPE[97:123], _SHAPE[48:58], _SHAPE[128:] = 65, 97, 48, 97
@@ -130,7 +132,7 @@ def train(
 
     # bounded by per_level rows for each grade, each with at most 2 * buckets numbers
     got = rated.mapInArrow(
-        each_slice(sparse, "_text"), "_level int, _weight double, at array<int>, x array<float>"
+        each_slice(sparse, "_text", *SLICE), "_level int, _weight double, at array<int>, x array<float>"
     ).toPandas()
     grades = sorted(int(g) for g in got["_level"].unique())
     if not grades:
@@ -182,7 +184,7 @@ def quality_scores(
         return pa.RecordBatch.from_arrays(arrays, [*kept, *[name for name, _ in new]])
 
     schema = docs.select(*kept).schema.add("expected_grade", "double").add("tail_prob", "double").add("selected", "boolean")
-    return docs.select(*kept).mapInArrow(each_slice(score, text_col), schema)
+    return docs.select(*kept).mapInArrow(each_slice(score, text_col, *SLICE), schema)
 
 
 @query("op2_quality_classifier")

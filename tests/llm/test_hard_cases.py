@@ -1,10 +1,11 @@
 """Nulls, empty and long texts, repeated rows, clashing columns and empty tables."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from lexigrid.llm import decontaminate, jaccard, licenses, lines, pieces, quality, secrets, substrings, topk, toxicity
-from lexigrid.llm.bytetext import Texts
+from lexigrid.llm.bytetext import Texts, slices
 from tests.llm.helpers import HARD, LONG, PASSAGE, by_id, hard_docs, no_docs, words
 
 RATINGS = [(1, 0), (4, 1), (6, 0), (7, 2), (8, 2), (None, 1), (10, None)]
@@ -244,3 +245,10 @@ def test_fuzzy_lines(spark):
 def test_long_texts_are_scanned_whole(spark):
     docs = spark.createDataFrame([(1, LONG + " all rights reserved")], "doc_id long, text string")
     assert licenses.license_scan(docs).first().found[0].start == 6 * 8000
+
+
+def test_features_of_short_texts_are_made_in_small_slices():
+    """A row has thousands of features whatever its length, so rows bound a slice too."""
+    batch = pa.RecordBatch.from_arrays([pa.array(["a"] * 1000)], ["text"])
+    sizes = [len(texts) for _, texts in slices(batch, "text", *quality.SLICE)]
+    assert sum(sizes) == 1000 and max(sizes) == 256
