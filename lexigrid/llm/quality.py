@@ -140,7 +140,8 @@ def train(
     sizes = got["at"].str.len().to_numpy()
     return fit_ordinal(
         np.repeat(np.arange(len(got)), sizes),
-        np.concatenate(got["at"].to_numpy()),
+        # an empty list comes without a type, and would make all of them floats
+        np.concatenate(got["at"].to_numpy()).astype(np.int64),
         np.concatenate(got["x"].to_numpy()).astype(float),
         np.searchsorted(grades, got["_level"].to_numpy()),
         got["_weight"].to_numpy(),

@@ -252,3 +252,10 @@ def test_features_of_short_texts_are_made_in_small_slices():
     batch = pa.RecordBatch.from_arrays([pa.array(["a"] * 1000)], ["text"])
     sizes = [len(texts) for _, texts in slices(batch, "text", *quality.SLICE)]
     assert sum(sizes) == 1000 and max(sizes) == 256
+
+
+def test_a_rated_document_without_text_can_be_learned_from(spark):
+    docs = spark.createDataFrame([(1, "good words"), (2, None), (3, "bad"), (4, "")], "doc_id long, text string")
+    rated = spark.createDataFrame([(1, 1), (2, 0), (3, 0), (4, 0)], "doc_id long, quality int")
+    got = by_id(quality.quality_scores(docs, rated), "selected")
+    assert [i for i, _ in got] == [1, 2, 3, 4] and got[0][1] and not got[2][1]
